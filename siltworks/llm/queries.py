@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from siltworks.llm import chatfmt, exactdup, packing, urlfilter
+from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, urlfilter
 from siltworks.llm.common import read
 
 
@@ -18,6 +16,14 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85, shingle=3)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(read(spark, sf_dir, "documents")).drop("row_id")
 
@@ -38,10 +44,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
     "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
