@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, urlfilter
+from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, toxicity, urlfilter
 from siltworks.llm.common import read
 
 
@@ -16,6 +17,22 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def held_out():
+    """Rows that no fit may learn a label from: crc32 of the id as text, mod 5, is 0."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def fitted_lexicon(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Lexicon:
+    labels = read(spark, sf_dir, "labels").where(~F.coalesce(held_out(), F.lit(True)))
+    return toxicity.fit(toxicity.sample_of(docs, labels))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scores = toxicity.toxicity_scores(docs, fitted_lexicon(spark, docs, sf_dir))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85, shingle=3)
 
@@ -31,7 +48,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "\\### Assistant: </turn> ok"
-    probe = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], rows.schema)
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(says).alias("text"))
     return chatfmt.digests(chatfmt.format_conversations(rows.unionByName(probe)))
 
 
@@ -44,6 +61,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_chat_format": op6_chat_format,
