@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, toxicity, urlfilter
+from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, substrdup, toxicity, urlfilter
 from siltworks.llm.common import read
 
 
@@ -56,6 +56,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(read(spark, sf_dir, "pages"), named=urlfilter.HOST_RULES)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrdup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read(spark, sf_dir, "documents"), tokenizer_file()))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
