@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from siltworks.llm.common import stage, text_of
 
 #: A tokenizer's worker keeps the ids of at most so many different chunks of a text.
-CACHE = 400_000
+CACHE = 800_000
 #: The plan is broadcast up to so many rows (of 48 bytes); beyond, it is joined by a shuffle.
 PLAN_ROWS = 200_000
 RANK_BLOCK = 1 << 16
@@ -95,29 +97,99 @@ def best_fit_plan(histogram: Iterable[tuple[int, int]], capacity: int) -> list[t
     return runs
 
 
+def chunk_encoder(tokenizer_file: str):
+    """A function from chunks of text without blanks to their ids, as little-endian unsigned 32-bit bytes.
+
+    The tokenizer's BPE is run as byte ranks: a word's last byte gets an end
+    mark, and the first merges join the two. That equals the list of merges here, since each
+    merge makes another token (checked when loading) and the tests compare whole texts. Chunks with anything
+    but plain characters below U+0300, and other kinds of tokenizers, go through the tokenizer itself.
+    """
+    import json
+
+    import numpy as np
+    import regex
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_file)
+    slow = lambda parts: [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch_fast(parts, add_special_tokens=False)]
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split = spec["model"], spec["pre_tokenizer"].get("pretokenizers", [{}])[0]
+    lowers = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+    if model.get("end_of_word_suffix") != "</w>" or not lowers or not split.get("invert") or "Regex" not in split["pattern"]:
+        return slow
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+    end = b"\xff"  # not a byte of UTF-8
+
+    def raw(token: str) -> bytes:
+        body = token.removesuffix("</w>")
+        return bytes(map(byte.__getitem__, body)) + end * (body != token)
+
+    ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + end: 256 + b for b in range(255)}
+    for m in model["merges"]:
+        left, right = m if isinstance(m, list) else m.split(" ")
+        ranks[raw(left) + raw(right)] = 256 + len(ranks)
+    if len(ranks) != 511 + len(model["merges"]):
+        return slow
+    ids = np.zeros(256 + len(ranks), "<u4")
+    special = {t["content"] for t in spec["added_tokens"]}
+    for token, k in model["vocab"].items():
+        if token not in special and raw(token) in ranks:
+            ids[ranks[raw(token)]] = k
+    bpe = tiktoken.Encoding("ranks", pat_str="[^\\n]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    pieces, plain = regex.compile(split["pattern"]["Regex"]).findall, regex.compile("[!-~\u00a1-\u02ff]+").fullmatch
+
+    def encode(parts: list[str]) -> list[bytes]:
+        found, rest = {}, []
+        for p in parts:
+            low = p.lower()
+            if not plain(low) or "<|" in low:
+                rest.append(p)
+            elif low.isalpha():
+                found[p] = ids[bpe(low.encode() + end)].tobytes()
+            else:
+                found[p] = ids[[r for w in pieces(low) for r in bpe(w.encode() + end)]].tobytes()
+        found.update(zip(rest, slow(rest), strict=True))
+        return [found[p] for p in parts]
+
+    return encode
+
+
+def _worker_cache(key: str, make):
+    """What a worker process keeps from task to task."""
+    held = sys.modules.setdefault("siltworks_worker", ModuleType("siltworks_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def _pieces(tokenizer_file: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches) -> Iterator:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        known: dict[str, bytes] = {"": b""}
+        encode = _worker_cache(f"encoder {tokenizer_file}", lambda: chunk_encoder(tokenizer_file))
+        known = _worker_cache(f"chunks {tokenizer_file}", lambda: {"": b""})
         end = np.array([end_id], "<u4").tobytes()
-        encode = lambda parts: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), batch.column(1)
             at, piece, start, length, crc, kept = [], [], [], [], [], []
             for row, text in enumerate(texts):
                 # No token spans a blank or a line end, so chunks between them are encoded once each.
-                parts = text.replace("\n", " ").split(" ")
-                if new := [p for p in {*parts} if p not in known]:
+                parts = text.as_py().replace("\n", " ").split(" ")
+                try:
+                    tokens = b"".join(map(known.__getitem__, parts)) + end
+                except KeyError:
                     if len(known) > CACHE:
-                        known = {"": b""}
-                        new = list({*parts} - {""})
+                        known.clear()
+                        known[""] = b""
+                    new = [p for p in {*parts} if p not in known]
                     known.update(zip(new, encode(new), strict=True))
-                tokens = b"".join(map(known.__getitem__, parts)) + end
+                    tokens = b"".join(map(known.__getitem__, parts)) + end
                 for k, b in enumerate(range(0, len(tokens), 4 * capacity)):
                     cut = tokens[b : b + 4 * capacity]
                     at.append(row)
