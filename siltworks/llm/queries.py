@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, substrdup, toxicity, urlfilter
+from siltworks.llm import chatfmt, decontam, exactdup, neardup, packing, quality, secretscan, substrdup, toxicity, urlfilter
 from siltworks.llm.common import read
 
 
@@ -33,6 +33,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.perplexity_filter(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(read(spark, sf_dir, "documents"), secretscan.fit(secretscan.labelled_findings(spark)))
+    return found.withColumn("value", F.sha2("value", 256))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85, shingle=3)
 
@@ -66,8 +75,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
     "op8_suffix_dedup": op8_suffix_dedup,
