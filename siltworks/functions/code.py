@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The language's reserved words, which renaming never touches.
 KEYWORDS = tuple(
@@ -69,14 +70,14 @@ def compliance(code: Column, of_standard: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Tokens without comments; strings and characters are `S`, words in lower case."""
     found = F.filter(F.regexp_extract_all(text, F.lit(TOKEN), 0), lambda t: ~t.startswith("--"))
-    return F.transform(found, lambda t: F.when(t.startswith('"') | (t.startswith("'") & (F.length(t) <= 3)), "S").when(t.rlike("^[A-Za-z_]"), F.lower(t)).otherwise(t))
+    return F.transform(found, lambda t: F.when(t.startswith('"') | (t.startswith("'") & (F.length(t) <= 3)), "S").when(t.rlike(r"^[\p{L}_]"), F.lower(t)).otherwise(t))
 
 
 def normalized(text: Column) -> Column:
     return F.array_join(tokens(text), " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _renamed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     keywords = frozenset(KEYWORDS)
 

@@ -33,7 +33,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 # Lexer tokens in SQL: the same pattern, comments dropped, literals as S, words in lower case.
 _TOKEN_SQL = code.TOKEN.replace("'", "''")
 _NORM_SQL = f"""array_to_string(list_transform(list_filter(regexp_extract_all(text, '{_TOKEN_SQL}'), lambda t: NOT starts_with(t, '--')),
-    lambda t: CASE WHEN starts_with(t, '"') OR (starts_with(t, '''') AND length(t) <= 3) THEN 'S' WHEN regexp_matches(t, '^[A-Za-z_]') THEN lower(t) ELSE t END), ' ')"""
+    lambda t: CASE WHEN starts_with(t, '"') OR (starts_with(t, '''') AND length(t) <= 3) THEN 'S' WHEN regexp_matches(t, '^[\\p{{L}}_]') THEN lower(t) ELSE t END), ' ')"""
 _REDACT = lambda c: f"regexp_replace({c}, '{prose.SECRET.replace(chr(39), chr(39) * 2)}', '[REDACTED]', 'g')"
 _SWAPS_SQL = "text || ' In order to leverage robust tools; we should utilize them ' || (doc_id % 7) || ' times, moreover a plethora'"
 for _phrase, _plain in prose.WORD_SWAPS:
@@ -112,7 +112,7 @@ _WORDS_SQL = ", ".join(f"'{k}'" for k in code.KEYWORDS)
 @query(
     f"""WITH t AS (SELECT doc_id, string_split({_NORM_SQL}, ' ') AS k FROM documents),
         e AS (SELECT doc_id, unnest(k) AS tok, generate_subscripts(k, 1) AS i FROM t),
-        f AS (SELECT doc_id, tok, min(i) AS pos FROM e WHERE regexp_matches(tok, '^[A-Za-z_]') AND tok NOT IN ({_WORDS_SQL}) GROUP BY ALL),
+        f AS (SELECT doc_id, tok, min(i) AS pos FROM e WHERE regexp_matches(tok, '^[\\p{{L}}_]') AND tok NOT IN ({_WORDS_SQL}) GROUP BY ALL),
         n AS (SELECT doc_id, tok, 'N' || row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS name FROM f)
         SELECT e.doc_id, sha256(string_agg(coalesce(n.name, e.tok), ' ' ORDER BY e.i)) AS signature FROM e LEFT JOIN n ON e.doc_id = n.doc_id AND e.tok = n.tok GROUP BY e.doc_id"""
 )
