@@ -127,14 +127,13 @@ def train(trusted: DataFrame) -> Model:
     """
     import numpy as np
 
-    size = SYMBOLS**ORDER
     characters = trusted.mapInArrow(_count_characters, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     characters = [r[0] for r in characters.where("code < 65535").orderBy(F.desc("n"), "code").limit(SYMBOLS - FIRST).collect()]
     counts = {ORDER: trusted.mapInArrow(_count_grams(symbol_table(characters)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))}
     counts[ORDER] = stage(counts[ORDER], "quality-counts")
     for k in range(ORDER - 1, 0, -1):
         counts[k] = stage(counts[k + 1].select((F.col("gram") % SYMBOLS**k).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")), "quality-counts")
-    lower, dense = None, np.full(SYMBOLS, 1 / (SYMBOLS - 1))
+    lower, dense = None, np.full(SYMBOLS, 1 / (SYMBOLS - 1), np.float32)
     for k in range(1, ORDER + 1):
         of = counts[k].agg(*(F.count(F.when(F.col("n") == c, 1)) for c in (1, 2, 3, 4))).collect()[0]
         d = discounts(*of)
@@ -149,12 +148,15 @@ def train(trusted: DataFrame) -> Model:
             probability = seen.join(low, F.expr(f"gram % {SYMBOLS ** (k - 1)}") == F.col("rest")).select("gram", (F.col("own") + F.col("weight") * F.col("p_low")).alias("p"))
         lower = stage(probability, "quality-probabilities")
         weights, found = contexts.select("context", "weight").toPandas(), lower.toPandas()  # SYMBOLS ** k rows at most
-        backoff = np.ones(SYMBOLS ** (k - 1))
+        backoff = np.ones(SYMBOLS ** (k - 1), np.float32)
         backoff[weights["context"]] = weights["weight"]
-        below = dense.reshape(1, -1) if k == 1 else np.tile(dense.reshape(-1), SYMBOLS).reshape(SYMBOLS ** (k - 1), SYMBOLS)
-        dense = (backoff[:, None] * below).reshape(-1)
+        if k == 1:
+            dense = backoff * dense
+        else:  # a context's rest, without its first symbol, is a context of the next lower order
+            dense = (backoff.reshape(SYMBOLS, -1, 1) * dense.reshape(1, -1, SYMBOLS)).reshape(-1)
         dense[found["gram"]] = found["p"]
-    return Model(characters, np.log(np.maximum(dense, 1e-30)).astype(np.float32).reshape(size))
+    np.maximum(dense, np.float32(1e-30), out=dense)
+    return Model(characters, np.log(dense, out=dense))
 
 
 def _perplexities(characters: list[int], shared):

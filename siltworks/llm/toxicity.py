@@ -78,7 +78,7 @@ def matcher(lexicon: Lexicon):
         automaton.make_automaton()
 
     def hits(text: str) -> tuple[float, int]:
-        words = text.count(" ") - 1
+        words = text.count(" ") - 1 if text.strip() else 0
         found = [(end - size + 1, end, weight) for end, (weight, size) in automaton.iter(text)] if len(automaton) else []
         masks = [(a, b) for a, b, w in found if not w]
         total, last = 0.0, -1
@@ -87,7 +87,7 @@ def matcher(lexicon: Lexicon):
             if w and a > last and not any(x <= a and b <= y for x, y in masks):
                 total += w
                 last = b - 1
-        return total, max(words, 0)
+        return total, words
 
     return hits
 
