@@ -19,7 +19,7 @@ def ordered_dedup(df: DataFrame, seq: str, message: str, structural: str, exempt
     which cap rows were kept is `capped`, and not remembered as seen, unless it is exempt or cap is -1.
     Closed form: the first row of a message is kept if it is uncapped, null-signed or among the
     first cap non-exempt candidates of its signature; if it isn't, the first exempt row of that message is.
-    A null signature is never capped.
+    A null signature is never capped. Rows of one message have one signature.
     """
     s, free = F.col(seq), F.col(exempt) | F.col(structural).isNull() | F.lit(cap == -1)
     by_message = Window.partitionBy(message)

@@ -66,14 +66,14 @@ def blank_blind_dedup(spark, sf_dir):
 
 
 @query(
-    """WITH d AS (SELECT doc_id AS seq, text AS m, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE length(text) % 40 END AS s, doc_id % 13 = 0 AS e FROM documents),
+    """WITH d AS (SELECT doc_id AS seq, text AS m, CASE WHEN length(text) % 9 = 0 THEN NULL ELSE length(text) % 40 END AS s, doc_id % 13 = 0 AS e FROM documents),
        f AS (SELECT *, seq = min(seq) OVER (PARTITION BY m) AS first, min(CASE WHEN e THEN seq END) OVER (PARTITION BY m) AS ff, e OR s IS NULL AS free FROM d),
        k AS (SELECT *, first AND (free OR (row_number() OVER (PARTITION BY s, first AND NOT free ORDER BY seq) <= 3)) AS own FROM f),
        h AS (SELECT *, CASE WHEN bool_or(own) OVER (PARTITION BY m) THEN min(seq) OVER (PARTITION BY m) ELSE ff END AS kept_at FROM k)
        SELECT seq, CASE WHEN seq = kept_at THEN 'keep' WHEN seq > kept_at THEN 'exact' ELSE 'capped' END AS verdict FROM h"""
 )
 def structural_cap_dedup(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.sha2("text", 256).alias("m"), F.when(F.col("doc_id") % 9 != 0, F.length("text") % 40).alias("s"), (F.col("doc_id") % 13 == 0).alias("e"))
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.sha2("text", 256).alias("m"), F.when(F.length("text") % 9 != 0, F.length("text") % 40).alias("s"), (F.col("doc_id") % 13 == 0).alias("e"))
     return dedup.ordered_dedup(d, "seq", "m", "s", "e", cap=3).select("seq", "verdict")
 
 
