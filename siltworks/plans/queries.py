@@ -317,8 +317,10 @@ def broken_links(spark, sf_dir):
 
 
 _BLEU_SQL = """WITH p AS (SELECT a.doc_id AS id, regexp_extract_all(a.text, '{t}') AS r, regexp_extract_all(b.text, '{t}') AS h FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
-    g AS (SELECT id, n, side, list_reduce(w[i:i + n - 1], lambda x, y: x || chr(1) || y) AS g FROM (SELECT id, n, side, w, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT id, 'r' AS side, r AS w FROM p UNION ALL SELECT id, 'h', h FROM p) CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n) WHERE len(w) >= n)),
-    c AS (SELECT id, n, g, count(*) FILTER (side = 'r') AS cr, count(*) FILTER (side = 'h') AS ch FROM g GROUP BY ALL),
+    e AS (SELECT id, side, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM (SELECT id, 'r' AS side, r AS w FROM p UNION ALL SELECT id, 'h', h FROM p)),
+    k AS (SELECT id, side, t, lead(t) OVER w AS t2, lead(t, 2) OVER w AS t3, lead(t, 3) OVER w AS t4 FROM e WINDOW w AS (PARTITION BY id, side ORDER BY i)),
+    g AS (SELECT id, side, n, CASE n WHEN 1 THEN t WHEN 2 THEN t || chr(1) || t2 WHEN 3 THEN t || chr(1) || t2 || chr(1) || t3 ELSE t || chr(1) || t2 || chr(1) || t3 || chr(1) || t4 END AS g FROM k CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n)),
+    c AS (SELECT id, n, g, count(*) FILTER (side = 'r') AS cr, count(*) FILTER (side = 'h') AS ch FROM g WHERE g IS NOT NULL GROUP BY ALL),
     o AS (SELECT id, n, sum(least(cr, ch)) AS clipped, sum(ch) AS total FROM c GROUP BY ALL),
     l AS (SELECT id, sum(ln((clipped + 1) / (total + 1))) AS logs, count(*) AS k FROM o WHERE total > 0 GROUP BY id)
     SELECT p.id, round(CASE WHEN len(r) = 0 OR len(h) = 0 THEN 0.0 ELSE (CASE WHEN len(h) > len(r) THEN 1.0 ELSE exp(1 - len(r) / greatest(len(h), 1)) END) * exp((logs + (4 - k) * ln(1e-9)) / 4) END, 9) AS bleu FROM p LEFT JOIN l ON p.id = l.id"""
