@@ -10,6 +10,8 @@ from siltworks.llm.common import text_of
 #: Token positions that a seed compares; the others of its SPAN are ignored. Whatever 2 of
 #: 13 tokens are substituted, the first mask fits somewhere between them.
 SPAN, MASKS = 8, ((0, 1, 3, 6, 7), (0, 2, 3, 5, 7))
+#: Items of SPAN to 12 tokens have no such window; any 3 equal tokens in a row find them, which a fifth of substitutions leaves.
+SHORT_SPAN, SHORT_MASKS = 3, ((0, 1, 2),)
 #: A leak: of WINDOW aligned tokens (a whole item, if it is shorter) at least this share is equal.
 WINDOW, PERCENT = 13, 80
 #: Seeds are broadcast up to so many rows (of about 400 bytes); beyond, they are joined by a shuffle.
@@ -22,19 +24,34 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column) -> Column:
-    """For mask k and start i the seed at k * (n - SPAN + 1) + i; empty below SPAN tokens."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - SPAN)
+def seeds(hashes: Column, span: int, masks: tuple) -> Column:
+    """For mask k and start i the seed at k * (n - span + 1) + i; null below span tokens."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - span)
     seed = lambda k, mask: lambda i: F.xxhash64(F.lit(k), *(F.get(hashes, i + o) for o in mask))
-    each = [F.transform(starts, seed(k, mask)) for k, mask in enumerate(MASKS)]
-    return F.when(F.size(hashes) >= SPAN, F.concat(*each))
+    each = [F.transform(starts, seed(k, mask)) for k, mask in enumerate(masks)]
+    return F.when(F.size(hashes) >= span, F.concat(*each))
 
 
-def _exploded(df: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each seed: keep, hashes, seed, at (the seed's first token), mask."""
-    rows = df.select(*keep, "hashes", F.posexplode(seeds(F.col("hashes"))).alias("p", "seed"))
-    starts = F.size("hashes") - (SPAN - 1)
-    return rows.select(*keep, "hashes", "seed", (F.col("p") % starts).alias("at"))
+def _exploded(df: DataFrame, keep: list[str], span: int, masks: tuple) -> DataFrame:
+    """A row for each seed: keep, hashes, seed, at (the seed's first token)."""
+    rows = df.select(*keep, "hashes", F.posexplode(seeds(F.col("hashes"), span, masks)).alias("p", "seed"))
+    return rows.select(*keep, "hashes", "seed", (F.col("p") % (F.size("hashes") - (span - 1))).alias("at"))
+
+
+def _found(texts: DataFrame, items: DataFrame, span: int, masks: tuple, window: int, percent: int) -> DataFrame:
+    """(doc_id, item_id, matched) where seeds of texts meet those of items and the tokens around agree."""
+    index = _exploded(items, ["item_id"], span, masks).select("item_id", F.col("hashes").alias("item"), "seed", F.col("at").alias("item_at")).dropDuplicates(["item_id", "seed", "item_at"])
+    if index.count() <= SEED_ROWS:
+        index = F.broadcast(index)
+    hits = _exploded(texts, ["doc_id"], span, masks).join(index, "seed")
+    width = F.least(F.size("item"), F.lit(window))
+    first, last = F.greatest(F.lit(0), F.col("item_at") + span - width), F.least(F.col("item_at"), F.size("item") - width)
+    shift = F.col("at") - F.col("item_at")
+    # equal[j] for the item's tokens from first on; no other token is in a window that holds the seed
+    equal = F.transform(F.sequence(first, last + width - 1), lambda j: F.when(F.get("hashes", j + shift) == F.get("item", j), 1).otherwise(0))
+    hits = hits.select("doc_id", "item_id", width.alias("width"), (last - first).alias("slack"), equal.alias("equal"))
+    counts = F.transform(F.sequence(F.lit(0), F.col("slack")), lambda s: F.aggregate(F.slice("equal", s + 1, F.col("width")), F.lit(0), lambda a, x: a + x))
+    return hits.select("doc_id", "item_id", "width", F.array_max(counts).alias("matched")).where(F.col("matched") * 100 >= F.col("width") * percent).select("doc_id", "item_id", "matched")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, percent: int = PERCENT) -> DataFrame:
@@ -46,19 +63,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     id are judged as one document. Other columns are not read.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), token_hashes(text_of(item_text_col)).alias("hashes")).where(F.size("hashes") >= SPAN)
-    index = _exploded(items, ["item_id"]).select("item_id", F.col("hashes").alias("item"), "seed", F.col("at").alias("item_at")).dropDuplicates(["item_id", "seed", "item_at"])
-    if index.count() <= SEED_ROWS:
-        index = F.broadcast(index)
     texts = docs.select(F.col(id_col).alias("doc_id"), token_hashes(text_of(text_col)).alias("hashes"))
-    hits = _exploded(texts, ["doc_id"]).join(index, "seed")
-    width = F.least(F.size("item"), F.lit(window))
-    first, last = F.greatest(F.lit(0), F.col("item_at") + SPAN - width), F.least(F.col("item_at"), F.size("item") - width)
-    shift = F.col("at") - F.col("item_at")
-    # equal[j] for the item's tokens from first on; no other token is in a window that holds the seed
-    equal = F.transform(F.sequence(first, last + width - 1), lambda j: F.when(F.get("hashes", j + shift) == F.get("item", j), 1).otherwise(0))
-    hits = hits.select("doc_id", "item_id", width.alias("width"), (last - first).alias("slack"), equal.alias("equal"))
-    counts = F.transform(F.sequence(F.lit(0), F.col("slack")), lambda s: F.aggregate(F.slice("equal", s + 1, F.col("width")), F.lit(0), lambda a, x: a + x))
-    found = hits.select("doc_id", "item_id", "width", F.array_max(counts).alias("matched")).where(F.col("matched") * 100 >= F.col("width") * percent)
+    found = _found(texts, items.where(F.size("hashes") >= WINDOW), SPAN, MASKS, window, percent)
+    short = items.where(F.size("hashes") < WINDOW)
+    if short.limit(1).count():
+        found = found.union(_found(texts, short, SHORT_SPAN, SHORT_MASKS, window, percent))
     return found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 
