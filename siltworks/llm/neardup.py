@@ -14,8 +14,8 @@ from siltworks.llm.common import connected_components, stage, text_of
 
 #: Symbols of a signature, bits of a symbol (a byte), and the chance that a pair just at the similarity is further apart than the distance.
 SYMBOLS, BITS, MISS = 48, 8, 1e-6
-#: Symbols of the longer signature that screens pairs before their sets are compared.
-LONG = 256
+#: Rows that a task of the last step holds, and rows (of 16 bytes) up to which a table is broadcast.
+BLOCK, ROWS = 4_000, 2_000_000
 #: Bytes of text that a worker hashes at a time.
 SEGMENT = 2_000_000
 
@@ -28,7 +28,6 @@ class Scheme:
     shingle: int
     distance: int
     chunks: int
-    long_distance: int
 
 
 def within(percent: int, symbols: int) -> int:
@@ -42,7 +41,7 @@ def within(percent: int, symbols: int) -> int:
 
 def scheme(percent: int, shingle: int) -> Scheme:
     d = within(percent, SYMBOLS)
-    return Scheme(percent, shingle, d, d // 2 + 1, within(percent, LONG))
+    return Scheme(percent, shingle, d, d // 2 + 1)
 
 
 def chunk_edges(chunks: int) -> list[int]:
@@ -139,8 +138,8 @@ def _permutations(symbols: int):
     import numpy as np
 
     rng = np.random.RandomState(20)
-    mul = (rng.randint(0, 2**31, 2 * LONG).astype(np.uint64) << np.uint64(32)) | (rng.randint(0, 2**31, 2 * LONG).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-    return mul[:symbols, None], mul[LONG : LONG + symbols, None]
+    mul = (rng.randint(0, 2**31, 2 * SYMBOLS).astype(np.uint64) << np.uint64(32)) | (rng.randint(0, 2**31, 2 * SYMBOLS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+    return mul[:symbols, None], mul[SYMBOLS : SYMBOLS + symbols, None]
 
 
 def _minhash(s, mul, add) -> bytes:
@@ -179,7 +178,7 @@ def signatures(df: DataFrame, cfg: Scheme, id_col: str, text_col: str) -> DataFr
 
 
 def _probes(cfg: Scheme):
-    """SYMBOLS rows for a signature: for each symbol, the key of its chunk without it, as one error is allowed; place says which."""
+    """SYMBOLS rows for a signature: for each symbol, the key of its chunk without it, as one error is allowed; the low 6 bits of the key are the symbol's place."""
 
     def run(batches) -> Iterator:
         import numpy as np
@@ -198,48 +197,97 @@ def _probes(cfg: Scheme):
             part *= np.uint64(0xBF58476D1CE4E5B9)
             key = np.add.reduceat(part, edges[:-1], axis=1)[:, chunk] - part + add[:, 0]
             key ^= key >> np.uint64(30)
-            place = np.tile(np.arange(SYMBOLS, dtype=np.int32), len(rep))
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(place), pa.array(np.repeat(rep, SYMBOLS))], names=["key", "place", "rep"])
+            key = (key & np.uint64(2**64 - 64)) | np.arange(SYMBOLS, dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(rep, SYMBOLS))], names=["key", "rep"])
 
     return run
 
 
-def _sets(cfg: Scheme, long: bool):
+def _set_of(cfg: Scheme, carried: tuple[str, ...]):
+    """The carried columns and `words`, the sorted shingle hashes of the last column's text."""
+
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        mul, add = _permutations(LONG)
         for batch in batches:
-            sets, sigs = [], []
-            for texts in _slices(batch.column(1)):
-                for s in shingle_sets(texts, cfg.shingle):
-                    sets.append(s.tobytes())
-                    sigs.append(_minhash(s, mul, add))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["rep", "words", "long"])
+            texts = batch.column(len(carried))
+            sets = [s.tobytes() for held in _slices(texts) for s in shingle_sets(held, cfg.shingle)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(carried))), pa.array(sets, pa.binary())], names=[*carried, "words"])
 
     return run
 
 
+def _similar(x, y, percent: int) -> bool:
+    import numpy as np
+
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[place] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verify(percent: int):
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    ok.append(False)
-                    continue
-                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[place] == x).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
+def _settle(cfg: Scheme):
+    """Links between rows of a (lead, block) group, sorted with the apart rows of the block first.
+
+    Those, BLOCK at most, are held; every row is compared with the held ones before it that are in other components and under the
+    distance. Components joined here are joined from then on, so that of many copies each brings one link.
+    """
+
+    def run(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        group, parent, out = None, {}, ([], [])
+        reps, comps, sets, sigs, pile = [], [], [], None, []
+
+        def find(x):
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            cols = [batch.column(k) for k in range(5)]
+            leads, blocks, held, rep, comp = (c.to_pylist() for c in cols)
+            for k in range(len(rep)):
+                if (leads[k], blocks[k]) != group:
+                    group, parent, reps, comps, sets, pile, sigs = (leads[k], blocks[k]), {}, [], [], [], [], None
+                sig = np.frombuffer(batch.column(5)[k].as_buffer(), np.uint8)
+                words = np.frombuffer(batch.column(6)[k].as_buffer(), np.uint64)
+                if reps:
+                    if sigs is None or len(sigs) < len(pile):
+                        sigs = np.stack(pile)
+                    mine = find(comp[k])
+                    for m in np.flatnonzero((sigs != sig).sum(axis=1) <= cfg.distance).tolist():
+                        if reps[m] != rep[k] and find(comps[m]) != mine and _similar(words, sets[m], cfg.percent):
+                            out[0].append(rep[k])
+                            out[1].append(reps[m])
+                            parent[find(comps[m])] = mine
+                if held[k] == 0:
+                    reps.append(rep[k])
+                    comps.append(comp[k])
+                    sets.append(words)
+                    pile.append(sig)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
+            out = ([], [])
+
+    return run
+
+
 def _longs(sig: str, n: int) -> list:
     """A signature of n bytes as long columns' expressions, the first symbol in the top byte."""
     return [F.expr(f"cast(conv(hex(substring({sig}, {8 * k + 1}, 8)), 16, -10) as bigint)") for k in range(n // 8)]
@@ -253,10 +301,17 @@ def _wrong(x, y):
     return d.bitwiseAND(F.lit(0x0101010101010101))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs(a, b) whose full sets have the similarity."""
-    left, right = sets.select(F.col("rep").alias("a"), F.col("words").alias("x")), sets.select(F.col("rep").alias("b"), F.col("words").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+def _few(df: DataFrame) -> DataFrame:
+    """A staged table, broadcast only if it has few rows."""
+    return F.broadcast(df) if df.count() <= ROWS else df
+
+
+def _links(pairs: DataFrame, texts: DataFrame, cfg: Scheme) -> DataFrame:
+    """The staged pairs(a, b) whose full sets have the similarity. Only a's sets travel, each to its b."""
+    left = texts.join(_few(pairs), texts.rep == pairs.a).select("a", "b", "text").mapInArrow(_set_of(cfg, ("a", "b")), "a long, b long, words binary")
+    right = texts.join(_few(stage(pairs.select(F.col("b").alias("rep")).distinct(), "near-leads")), "rep").select("rep", "text").mapInArrow(_set_of(cfg, ("rep",)), "rep long, words binary")
+    both = left.join(right.select(F.col("rep").alias("b"), F.col("words").alias("y")), "b")
+    return both.select("a", "b", F.col("words").alias("x"), "y").mapInArrow(_verify(cfg.percent), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,13 +325,14 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
        pigeonhole principle, a chunk with one error at most. Each symbol is
        masked in turn, and classes that share a masked chunk share a bucket. This finds all pairs
        under the distance; a pair just at the similarity exceeds it with a chance below MISS.
-    3. Star: a bucket's members are compared with its middle, the member that shares most, on full
-       sets. A group of near copies is linked so, without a pair for any two of them.
-    4. Rest: members that their bucket's middle didn't link meet all other members of it in other
-       components. Of the keys that a pair shares only the first one yields it, and only under
-       the distance, and under that of LONG symbols. Those left are compared on full sets.
-
-    No group is capped, and all that is not linked in step 3 is settled in step 4. Null and empty texts have an
+    3. Star: each class is compared, on full sets, with the nearest middle of its buckets; a bucket's middle is the
+       member that shares most. A group of near copies is linked so, without a pair for any two of them.
+    4. Rest: members that are not in their middle's component ("apart") must meet all other members of
+       the bucket in other components. Both sides are cut to rows with a partner under the distance (a semi-join: no pair is
+       written) and go with their sets to a group of their middle, in blocks of BLOCK apart rows; there all
+       pairs under the distance are compared on full sets, but for those that are connected meanwhile.
+
+    No group is capped: what step 3 doesn't link, step 4 settles. Null and empty texts have an
     empty set, and are linked with nothing. Ids must be integers; rows that repeat an id are one
     document, and a row without id is linked with nothing, has component_id null and is kept. Other columns are not read.
     """
@@ -286,61 +342,43 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
     classes = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
     reps = stage(classes.select("digest", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "near-classes")
     packed = reps.select("rep", *(c.alias(n) for c, n in zip(_longs("sig", SYMBOLS), names, strict=True)))
-    probes = reps.select("rep", "sig").mapInArrow(_probes(cfg), "key long, place int, rep long")
-    buckets = probes.groupBy("key", "place").agg(F.count("*").alias("n")).where("n > 1")
-    members = stage(probes.join(buckets, ["key", "place"]), "near-members")
+    probes = reps.select("rep", "sig").mapInArrow(_probes(cfg), "key long, rep long")
+    buckets = probes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stage(probes.join(buckets, "key"), "near-members")
+    distance = sum((F.bit_count(_wrong(F.col("x" + n), F.col("y" + n))) for n in names), F.lit(0))
+    sided = lambda side, name: packed.select(F.col("rep").alias(name), *(F.col(n).alias(side + n) for n in names))
 
     score = members.groupBy("rep").agg(F.sum("n").alias("score"))
     middle = members.join(score, "rep").groupBy("key").agg(F.max(F.struct("score", -F.col("rep"))).alias("m"))
     middle = stage(middle.select("key", (-F.col("m.col2")).alias("lead")), "near-middles")
     star = members.join(middle, "key").where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
-    near = lambda pairs: pairs.join(packed.select(F.col("rep").alias("a"), *(F.col(n).alias("x" + n) for n in names)), "a").join(packed.select(F.col("rep").alias("b"), *(F.col(n).alias("y" + n) for n in names)), "b").where(sum((F.bit_count(_wrong(F.col("x" + n), F.col("y" + n))) for n in names), F.lit(0)) <= cfg.distance).select("a", "b")
-    star = stage(near(star), "near-star")
+    star = star.join(sided("x", "a"), "a").join(sided("y", "b"), "b").select("a", "b", distance.alias("d")).where(F.col("d") <= cfg.distance)
+    nearest = stage(star.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")), "near-star")
 
     texts = df.select(F.col(id_col).alias("rep"), text_of(text_col).alias("text"))
-    # rows whose text is a class's own: an id may be repeated with other texts
-    def sets_of(ids: DataFrame) -> DataFrame:
-        found = texts.join(ids, "rep", "left_semi").mapInArrow(_sets(cfg, True), "rep long, words binary, long binary")
-        return stage(found, "near-sets")
-
-    ids = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    linked = stage(_links(star, sets_of(ids(star)), percent), "near-links")
+    linked = stage(_links(nearest, texts, cfg), "near-links")
     component = connected_components(linked, "near-first")
 
-    at = members.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    at = members.join(component.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     open_keys = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    lead_at = middle.join(component, middle.lead == component.id, "left").select("key", F.coalesce("component", "lead").alias("lead_component"))
-    rest = stage(at.join(open_keys, "key").join(lead_at, "key").join(packed, "rep").select("key", "place", "rep", "component", (F.col("component") != F.col("lead_component")).alias("apart"), *names), "near-rest")
-    x = rest.where("apart").select("key", "place", F.col("rep").alias("a"), F.col("component").alias("ca"), *(F.col(n).alias("x" + n) for n in names))
-    y = rest.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("apart").alias("apart_b"), *(F.col(n).alias("y" + n) for n in names))
-    wrong = [_wrong(F.col("x" + n), F.col("y" + n)) for n in names]
-    edges = chunk_edges(cfg.chunks)
-
-    def errors(lo: int, hi: int):
-        """Symbols from lo to hi (exclusive) in which the pair differs."""
-        out = F.lit(0)
-        for k in range(SYMBOLS // 8):
-            mask = sum(1 << (8 * (7 - (i - 8 * k))) for i in range(max(lo, 8 * k), min(hi, 8 * k + 8)))
-            if mask:
-                out = out + F.bit_count(wrong[k].bitwiseAND(F.lit(mask)))
-        return out
-
-    # the first key that a pair shares: no chunk before has less than two errors, and in this one no place before would do
-    first = F.lit(False)
-    for c in range(cfg.chunks - 1, -1, -1):
-        lo, hi = edges[c], edges[c + 1]
-        own = (F.col("place") == lo) | ((F.col("place") < hi) & (errors(lo, hi) == 1))
-        here = (F.col("place") >= lo) & (F.col("place") < hi) & own
-        first = F.when(errors(lo, hi) <= 1, here).otherwise(first)
-    pair = (x.key == y.key) & (F.col("ca") != F.col("cb")) & (~F.col("apart_b") | (F.col("a") < F.col("b"))) & (errors(0, SYMBOLS) <= cfg.distance) & first
-    left = stage(x.join(y, pair).select("a", "b"), "near-rest-pairs")
-    sets = sets_of(ids(left))
-    longs = [f"l{k}" for k in range(LONG // 8)]
-    wide = stage(sets.select("rep", *(c.alias(n) for c, n in zip(_longs("long", LONG), longs, strict=True))), "near-long")
-    apart = sum((F.bit_count(_wrong(F.col("x" + n), F.col("y" + n))) for n in longs), F.lit(0))
-    left = left.join(wide.select(F.col("rep").alias("a"), *(F.col(n).alias("x" + n) for n in longs)), "a").join(wide.select(F.col("rep").alias("b"), *(F.col(n).alias("y" + n) for n in longs)), "b").where(apart <= cfg.long_distance).select("a", "b")
-    more = _links(left, sets, percent)
-    component = connected_components(linked.union(more), "near-all")
+    lead_at = middle.join(open_keys, "key").join(component, middle.lead == component.id, "left").select("key", "lead", F.coalesce("component", "lead").alias("lead_component"))
+    rest = stage(at.join(lead_at, "key").select("key", "rep", "component", "lead", (F.col("component") != F.col("lead_component")).alias("apart")), "near-rest")
+    rows = rest.join(packed, "rep")
+    side = lambda df, p: df.select("key", "lead", "apart", F.col("rep").alias(p + "rep"), F.col("component").alias(p + "component"), *(F.col(n).alias(p + n) for n in names))
+    other = lambda df, p: side(df, p).drop("lead", "apart").withColumnRenamed("key", "k")
+    pair = (F.col("key") == F.col("k")) & (F.col("xcomponent") != F.col("ycomponent")) & (distance <= cfg.distance)
+    # rows with an apart partner, and apart rows with any partner; no pair is written
+    some = side(rows, "y").join(other(rows.where("apart"), "x"), pair, "left_semi").select("lead", "apart", F.col("yrep").alias("rep"), F.col("ycomponent").alias("component"))
+    own_side = side(rows.where("apart"), "x").join(other(rows, "y"), pair, "left_semi").select("lead", "apart", F.col("xrep").alias("rep"), F.col("xcomponent").alias("component"))
+    left = stage(some.union(own_side).groupBy("lead", "rep", "component").agg(F.max("apart").alias("apart")), "near-left")
+    blocks = left.where("apart").groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = left.join(blocks, "lead").withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = stage(dealt.select("lead", "block", F.when(F.col("apart") & (F.col("own") == F.col("block")), 0).otherwise(1).alias("held"), "rep", "component"), "near-dealt")
+    sets = texts.join(_few(stage(dealt.select("rep").distinct(), "near-left-ids")), "rep").mapInArrow(_set_of(cfg, ("rep",)), "rep long, words binary")
+    full = dealt.join(sets, "rep").join(reps.select("rep", "sig"), "rep").select("lead", "block", "held", "rep", "component", "sig", "words")
+    more = full.repartition("lead", "block").sortWithinPartitions("lead", "block", "held", "rep").mapInArrow(_settle(cfg), "a long, b long")
+    component = connected_components(linked.union(stage(more, "near-more")), "near-all")
 
     out = sig.join(reps.select("digest", "rep"), "digest", "left").join(component, F.col("rep") == component.id, "left")
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
