@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltworks.llm.common import stage, text_of
 
 #: A repeated string of LENGTH bytes holds an anchor of GRAM bytes: the least hash among its grams.
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 64
 #: Anchors with more occurrences than this are compared window by window instead of in one task.
 HOT = 20_000
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, they are joined by a shuffle.
@@ -19,6 +19,29 @@ IDS = 2_000_000
 BLOCK = 1_000_000
 
 
+def _sorted_directly(data, starts, depth: int):
+    """starts in the order of the suffixes' first depth bytes: 7 bytes at a time, and only where the ones before are equal."""
+    import numpy as np
+
+    ends = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(depth + 7, np.uint64)])  # the end is lower than all bytes
+    order, group, open_ = starts.copy(), np.zeros(len(starts), np.int64), np.arange(len(starts))
+    for at in range(0, depth, 7):
+        if not len(open_):
+            break
+        part = order[open_]
+        key = np.zeros(len(part), np.uint64)
+        for k in range(at, min(at + 7, depth)):
+            key = (key << np.uint64(9)) | ends[part + k]
+        rank = np.lexsort((key, group[open_]))
+        part, key, own = part[rank], key[rank], group[open_][rank]
+        order[open_] = part
+        first = np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])])
+        group[open_] = np.maximum.accumulate(np.where(first, open_, 0))
+        alone = first & np.concatenate([first[1:], [True]])
+        open_ = open_[~alone]
+    return order
+
+
 def suffix_array(data, depth: int):
     """Suffixes of a uint8 array in the order of their first `depth` bytes, by two-stage sorting.
 
@@ -40,16 +63,7 @@ def suffix_array(data, depth: int):
     stops = bounds[np.searchsorted(bounds, np.arange(n), side="right")]
     after = np.where(stops < n, data[np.minimum(stops, n - 1)].astype(np.int16), -1)
     smaller = after > data
-    padded = np.concatenate([data.astype(np.uint16) + 1, np.zeros(depth, np.uint16)]).astype(np.uint8) if data.max() < 255 else None
-    direct = np.flatnonzero(smaller)
-    if padded is None:  # bytes up to 255 need two bytes each to stay above the end
-        wide = np.concatenate([data.astype(">u2") + 1, np.zeros(depth, ">u2")]).astype(">u2")
-        keys = np.lib.stride_tricks.sliding_window_view(wide, depth)[direct].copy().view(f"V{2 * depth}").ravel()
-        order = np.array(sorted(range(len(direct)), key=lambda k: keys[k].tobytes()), np.int64)
-    else:
-        keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, depth)[direct]).view(f"S{depth}").ravel()
-        order = np.argsort(keys, kind="stable")
-    direct = direct[order]
+    direct = _sorted_directly(data, np.flatnonzero(smaller), depth)
     direct_of = np.split(direct, np.searchsorted(data[direct], np.arange(1, 256)))
     induced = np.flatnonzero(~smaller)
     induced = induced[np.argsort(data[induced], kind="stable")]
