@@ -18,6 +18,12 @@ def to_records(rows: DataFrame, key: str = "conv_id", order: str = "turn") -> Da
     return rows.groupBy(key).agg(F.array_sort(F.collect_list(each)).alias("x")).select(key, F.col("x.m").alias("messages"))
 
 
+def joined(rows: DataFrame, key: str = "conv_id", order: str = "turn", separator: str = " | ") -> DataFrame:
+    """One row per conversation: joined, its whole texts in order, each after its number. Null texts are left out."""
+    each = F.struct(order, "role", "text", F.concat(F.col(order).cast("string"), F.lit(":"), F.col("text")).alias("t"))
+    return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["t"]), separator).alias("joined"))
+
+
 def last_message(messages: str = "messages") -> Column:
     return F.try_element_at(F.col(messages), F.lit(-1))
 

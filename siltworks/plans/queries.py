@@ -449,6 +449,11 @@ def ordered_concat(spark, sf_dir):
     return d.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["t"]), " | ").alias("joined"))
 
 
+@query("SELECT conv_id, coalesce(string_agg(turn || ':' || text, ' | ' ORDER BY turn, role, text), '') AS joined FROM conversations GROUP BY conv_id")
+def ordered_concat_whole(spark, sf_dir):
+    return turns.joined(read(spark, sf_dir, "conversations"))
+
+
 @query("SELECT id, md5(text) AS digest FROM (SELECT doc_id AS id, CAST(from_base64(to_base64(encode(text))) AS BLOB) AS b, text FROM documents)")
 def base64_round_trip(spark, sf_dir):
     m = F.create_map(F.lit("a.ads"), F.base64(F.encode("text", "UTF-8")))

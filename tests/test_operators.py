@@ -200,3 +200,11 @@ def test_file_scan_and_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 100
     prints = [sources.fingerprint(spark.createDataFrame(rows, "path string, digest string"), {"cap": 1}) for rows in ([("a", "1"), ("b", "2")], [("b", "2"), ("a", "1")], [("a", "2"), ("b", "1")])]
     assert prints[0] == prints[1] != prints[2]
+
+
+def test_ordered_concat_joins_whole_texts_of_every_row(spark):
+    rows = [(c, t, "user", f"{c}-{t} " + "long text " * 50) for c in range(1, 41) for t in (10, 2, 1)] + [(41, 1, "user", None)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    want = {c: " | ".join(f"{t}:{x}" for k, t, _, x in sorted(r for r in rows if r[3]) if k == c) for c in range(1, 42)}
+    assert {r.conv_id: r.joined for r in turns.joined(df).collect()} == want
