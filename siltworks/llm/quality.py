@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import stage, text_of
 
-#: Symbols: begin, end, unknown, and the most frequent characters of the trusted text, SYMBOLS in all.
-#: The model has at most SYMBOLS ** ORDER grams (64 MB of 4-byte logarithms), which bounds what is collected and broadcast.
-SYMBOLS, ORDER = 64, 4
+#: The model is of ORDER-grams of symbols: begin, end, unknown, and every character at its code point plus FIRST, in BITS bits.
+#: All characters of the trusted text are its alphabet, which counts as SYMBOLS symbols at least.
+SYMBOLS, ORDER, BITS = 64, 4, 21
 BEGIN, END, UNKNOWN, FIRST = 0, 1, 2, 3
+#: A model of up to so many grams (32 bytes each) is broadcast; beyond, the documents' grams are joined with it by shuffles.
+GRAMS = 3_000_000
 #: Texts above this share of the trusted texts of their language are rejected. The share is taken of the
 #: trusted texts that the model wasn't trained on (crc32 of the id, mod CALIBRATE, is 0), as it knows the others too well.
 QUANTILE, CALIBRATE = 0.995, 5
@@ -22,11 +24,10 @@ IDS = 2_000_000
 SEGMENT = 2_000_000
 
 
-def _codes(text: str):
+def _symbols(text: str):
     import numpy as np
 
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(codes > 0xFFFF, 0xFFFF, codes)
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + FIRST
 
 
 def _segments(texts) -> Iterator[tuple[list[str], list[int]]]:
@@ -43,52 +44,52 @@ def _segments(texts) -> Iterator[tuple[list[str], list[int]]]:
         yield held, rows
 
 
-def _count_characters(batches) -> Iterator:
-    import numpy as np
-    import pyarrow as pa
-
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for held, _ in _segments(batch.column(0)):
-            total += np.bincount(_codes("".join(held)), minlength=1 << 16)
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
-
-
-def _grams(texts: list[str], table):
-    """Gram numbers of all predicted symbols of texts, one text after the other, and how many each has (its length and the end)."""
+def _grams(texts: list[str]):
+    """The different grams of texts as contexts (symbols of BITS bits each) and symbols; which of them each predicted symbol has, one text after the other; and how many each text has (its length and the end)."""
     import numpy as np
 
     parts, lengths = [], []
     for t in texts:
-        s = table[_codes(t)]
-        parts += [np.zeros(ORDER - 1, np.int64), s, np.array([END])]
-        lengths.append(len(s) + 1)
-    s = np.concatenate(parts).astype(np.int64)
-    g = np.zeros(len(s) - ORDER + 1, np.int64)
-    for k in range(ORDER):
-        g = g * SYMBOLS + s[k : k + len(g)]
+        own = _symbols(t)
+        parts += [np.full(ORDER - 1, BEGIN, np.int64), own, np.array([END])]
+        lengths.append(len(own) + 1)
+    s = np.concatenate(parts)
     # windows that end at padding predict nothing
     keep = s[ORDER - 1 :] != BEGIN
-    return g[keep], np.array(lengths)
-
-
-def _count_grams(table):
-    def run(batches) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        total = np.zeros(SYMBOLS**ORDER, np.int32)
-        for batch in batches:
-            for held, _ in _segments(batch.column(0)):
-                g, n = np.unique(_grams(held, table)[0], return_counts=True)
-                total[g] += n.astype(np.int32)
-        seen = np.flatnonzero(total)
-        for k in range(0, len(seen), 200_000):
-            part = seen[k : k + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], names=["gram", "n"])
+    seen = np.zeros(1 << BITS, bool)
+    seen[s] = True
+    alphabet = np.flatnonzero(seen)
+    size, n = len(alphabet), len(s) - ORDER + 1
+    if size**ORDER < 1 << 63:
+        rank = (np.cumsum(seen) - 1)[s]
+        g = np.zeros(n, np.int64)
+        for k in range(ORDER):
+            g = g * size + rank[k : k + n]
+        own, which = np.unique(g[keep], return_inverse=True)
+        symbols, contexts = alphabet[own % size], np.zeros(len(own), np.int64)
+        for k in range(ORDER - 1):
+            contexts |= alphabet[own // size ** (k + 1) % size] << (BITS * k)
+    else:
+        c = np.zeros(n, np.int64)
+        for k in range(ORDER - 1):
+            c = c << BITS | s[k : k + n]
+        contexts, place = np.unique(c[keep], return_inverse=True)
+        own, which = np.unique(place << BITS | s[ORDER - 1 :][keep], return_inverse=True)
+        contexts, symbols = contexts[own >> BITS], own & ((1 << BITS) - 1)
+    return contexts, symbols, which, np.array(lengths)
+
+
+def _count_grams(batches) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
 
-    return run
+    for batch in batches:
+        for held, _ in _segments(batch.column(0)):
+            contexts, symbols, which, _ = _grams(held)
+            n = np.bincount(which, minlength=len(contexts))
+            for k in range(0, len(n), 200_000):
+                part = slice(k, k + 200_000)
+                yield pa.RecordBatch.from_arrays([pa.array(contexts[part]), pa.array(symbols[part]), pa.array(n[part])], names=["context", "symbol", "n"])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -101,21 +102,18 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 class Model:
-    """characters: the alphabet, most frequent first; logs: natural logarithms of the probabilities of all grams, by gram number."""
+    """size: of the alphabet; by order from 1 on, contexts: staged (context, weight), and grams: staged (context, symbol, p)."""
 
-    def __init__(self, characters: list[int], logs):
-        self.characters, self.logs = characters, logs
+    def __init__(self, size: int, contexts: list[DataFrame], grams: list[DataFrame]):
+        self.size, self.contexts, self.grams = size, contexts, grams
 
-    def table(self):
-        return symbol_table(self.characters)
+    def count(self) -> int:
+        return sum(g.count() for g in self.grams)
 
 
-def symbol_table(characters: list[int]):
-    import numpy as np
-
-    table = np.full(1 << 16, UNKNOWN, np.int64)
-    table[characters] = np.arange(FIRST, FIRST + len(characters))
-    return table
+def _last(context: Column, order: int) -> Column:
+    """The context that an order sees of a longer one."""
+    return context.bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1).cast("long"))
 
 
 def train(trusted: DataFrame) -> Model:
@@ -125,57 +123,118 @@ def train(trusted: DataFrame) -> Model:
     with the next lower order's probabilities, by key. Lower orders count the different symbols before
     a gram. The end of a text is a symbol. Without text, all symbols are equally likely.
     """
-    import numpy as np
-
-    characters = trusted.mapInArrow(_count_characters, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    characters = [r[0] for r in characters.where("code < 65535").orderBy(F.desc("n"), "code").limit(SYMBOLS - FIRST).collect()]
-    counts = {ORDER: trusted.mapInArrow(_count_grams(symbol_table(characters)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))}
-    counts[ORDER] = stage(counts[ORDER], "quality-counts")
+    counted = trusted.mapInArrow(_count_grams, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    counts = {ORDER: stage(counted, "quality-counts")}
     for k in range(ORDER - 1, 0, -1):
-        counts[k] = stage(counts[k + 1].select((F.col("gram") % SYMBOLS**k).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")), "quality-counts")
-    lower, dense = None, np.full(SYMBOLS, 1 / (SYMBOLS - 1), np.float32)
+        counts[k] = stage(counts[k + 1].groupBy(_last(F.col("context"), k).alias("context"), "symbol").agg(F.count("*").alias("n")), "quality-counts")
+    size = max(SYMBOLS, FIRST + counts[1].where(F.col("symbol") >= FIRST).count())
+    contexts, grams = [], []
     for k in range(1, ORDER + 1):
         of = counts[k].agg(*(F.count(F.when(F.col("n") == c, 1)) for c in (1, 2, 3, 4))).collect()[0]
         d = discounts(*of)
         off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        context = F.expr(f"gram div {SYMBOLS}")
-        contexts = stage(counts[k].groupBy(context.alias("context")).agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("weight")), "quality-contexts")
-        seen = counts[k].withColumn("context", context).join(contexts, "context").select("gram", ((F.col("n") - off) / F.col("total")).alias("own"), "weight")
-        if lower is None:
-            probability = seen.select("gram", (F.col("own") + F.col("weight") / (SYMBOLS - 1)).alias("p"))
-        else:
-            low = lower.select(F.col("gram").alias("rest"), F.col("p").alias("p_low"))
-            probability = seen.join(low, F.expr(f"gram % {SYMBOLS ** (k - 1)}") == F.col("rest")).select("gram", (F.col("own") + F.col("weight") * F.col("p_low")).alias("p"))
-        lower = stage(probability, "quality-probabilities")
-        weights, found = contexts.select("context", "weight").toPandas(), lower.toPandas()  # SYMBOLS ** k rows at most
-        backoff = np.ones(SYMBOLS ** (k - 1), np.float32)
-        backoff[weights["context"]] = weights["weight"]
+        totals = stage(counts[k].groupBy("context").agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("weight")), "quality-contexts")
+        seen = counts[k].join(totals, "context").select("context", "symbol", ((F.col("n") - off) / F.col("total")).alias("own"), "weight")
         if k == 1:
-            dense = backoff * dense
-        else:  # a context's rest, without its first symbol, is a context of the next lower order
-            dense = (backoff.reshape(SYMBOLS, -1, 1) * dense.reshape(1, -1, SYMBOLS)).reshape(-1)
-        dense[found["gram"]] = found["p"]
-    np.maximum(dense, np.float32(1e-30), out=dense)
-    return Model(characters, np.log(dense, out=dense))
+            p = seen.select("context", "symbol", (F.col("own") + F.col("weight") / (size - 1)).alias("p"))
+        else:
+            low = grams[-1].select(F.col("context").alias("rest"), F.col("symbol").alias("s"), F.col("p").alias("p_low"))
+            p = seen.join(low, (_last(F.col("context"), k - 1) == F.col("rest")) & (F.col("symbol") == F.col("s"))).select("context", "symbol", (F.col("own") + F.col("weight") * F.col("p_low")).alias("p"))
+        contexts.append(totals.select("context", "weight"))
+        grams.append(stage(p, "quality-probabilities"))
+    return Model(size, contexts, grams)
+
+
+def _tables(model: Model) -> list:
+    """By order: contexts in order, their weights, grams (number of the context, then symbol) in order, their probabilities."""
+    import numpy as np
 
+    out = []
+    for c, g in zip(model.contexts, model.grams, strict=True):
+        c, g = c.toPandas().sort_values("context"), g.toPandas()
+        contexts = c["context"].to_numpy()
+        keys = np.searchsorted(contexts, g["context"].to_numpy()) << BITS | g["symbol"].to_numpy()
+        by = np.argsort(keys)
+        out.append((contexts, c["weight"].to_numpy(), keys[by], g["p"].to_numpy()[by]))
+    return out
 
-def _perplexities(characters: list[int], shared):
+
+def _logs(tables: list, size: int, contexts, symbols):
+    """Natural logarithms of the probabilities of grams: where an order doesn't know a gram, its context's weight of the next lower order's."""
+    import numpy as np
+
+    p = np.full(len(symbols), 1 / (size - 1))
+    for k, (known, weights, keys, own) in enumerate(tables):
+        if not len(known):
+            continue
+        c = contexts & ((1 << BITS * k) - 1)
+        at = np.minimum(np.searchsorted(known, c), len(known) - 1)
+        has = known[at] == c
+        p = np.where(has, weights[at], 1.0) * p
+        key = at << BITS | symbols
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        p = np.where(has & (keys[place] == key), own[place], p)
+    return np.log(p)
+
+
+def _perplexities(size: int, shared):
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        table, logs = symbol_table(characters), shared.value
         for batch in batches:
             out = np.zeros(len(batch))
             for held, rows in _segments(batch.column(1)):
-                g, lengths = _grams(held, table)
+                contexts, symbols, which, lengths = _grams(held)
                 begins = np.cumsum(lengths) - lengths
-                out[rows] = np.exp(-np.add.reduceat(logs[g].astype(np.float64), begins) / lengths)
+                out[rows] = np.exp(-np.add.reduceat(_logs(shared.value, size, contexts, symbols)[which], begins) / lengths)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out)], names=["doc_id", "lang", "perplexity"])
 
     return run
 
 
+def _row_grams(batches) -> Iterator:
+    """For each row its id, language and number of places, without a symbol; and its different grams, each with its number of places."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    at = TaskContext.get().partitionId() << 40
+    names = ["row", "doc_id", "lang", "context", "symbol", "n"]
+    for batch in batches:
+        numbers = np.arange(at, at + len(batch))
+        at += len(batch)
+        sizes = np.zeros(len(batch), np.int64)
+        for held, rows in _segments(batch.column(1)):
+            contexts, symbols, which, lengths = _grams(held)
+            sizes[rows] = lengths
+            each, n = np.unique(np.repeat(np.arange(len(held)), lengths) * len(contexts) + which, return_counts=True)
+            row, g = numbers[rows][each // len(contexts)], each % len(contexts)
+            for k in range(0, len(n), 200_000):
+                part = slice(k, k + 200_000)
+                nulls = [pa.nulls(len(n[part]), batch.column(c).type) for c in (0, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(row[part]), *nulls, pa.array(contexts[g[part]]), pa.array(symbols[g[part]]), pa.array(n[part])], names=names)
+        none = pa.nulls(len(batch), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0), batch.column(2), none, none, pa.array(sizes)], names=names)
+
+
+def _joined_perplexities(rows: DataFrame, model: Model, id_type: str) -> DataFrame:
+    """The same as _perplexities by joins: the documents' different grams meet each order's tables, then every row's grams meet theirs."""
+    found = stage(rows.mapInArrow(_row_grams, f"row long, doc_id {id_type}, lang string, context long, symbol long, n long"), "quality-grams")
+    grams = found.where("symbol IS NOT NULL").select("row", "context", "symbol", "n")
+    p = grams.select("context", "symbol").distinct().withColumn("p", F.lit(1 / (model.size - 1)))
+    for k, (contexts, own) in enumerate(zip(model.contexts, model.grams, strict=True), 1):
+        contexts, own = contexts.select(F.col("context").alias("c"), "weight"), own.select(F.col("context").alias("c2"), F.col("symbol").alias("s2"), F.col("p").alias("own"))
+        if k <= 2:  # a row for each character at most
+            contexts = F.broadcast(contexts)
+        p = p.join(contexts, _last(F.col("context"), k) == F.col("c"), "left").join(own, (_last(F.col("context"), k) == F.col("c2")) & (F.col("symbol") == F.col("s2")), "left")
+        p = p.select("context", "symbol", F.coalesce("own", F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p"))
+    logs = stage(p.select("context", "symbol", F.log("p").alias("log")), "quality-logs")
+    sums = grams.join(logs, ["context", "symbol"]).groupBy("row").agg(F.sum(F.col("n") * F.col("log")).alias("sum"))
+    heads = found.where("symbol IS NULL").select("row", "doc_id", "lang", F.col("n").alias("places"))
+    return heads.join(sums, "row").select("doc_id", "lang", F.exp(-F.col("sum") / F.col("places")).alias("perplexity"))
+
+
 def calibrates(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % CALIBRATE == 0, F.lit(False))
 
@@ -202,9 +261,14 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, model: Model | None =
     """
     spark = docs.sparkSession
     model = model or train(trusted_texts(docs, labels, id_col, text_col))
-    shared = spark.sparkContext.broadcast(model.logs)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("\0")).alias("lang"))
-    scored = stage(rows.mapInArrow(_perplexities(model.characters, shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, perplexity double"), "quality-scores")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    if model.count() <= GRAMS:
+        shared = spark.sparkContext.broadcast(_tables(model))
+        scores = rows.mapInArrow(_perplexities(model.size, shared), f"doc_id {id_type}, lang string, perplexity double")
+    else:
+        scores = _joined_perplexities(rows, model, id_type)
+    scored = stage(scores, "quality-scores")
     good = scored.where(calibrates("doc_id")).join(trusted_ids(labels, id_col), F.col("doc_id") == F.col("__id"), "left_semi")
     cut = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = good.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("own"))

@@ -102,6 +102,32 @@ def test_quality_model_equals_its_definition(spark):
     assert quality.perplexity_filter(docs.where("false"), labels, model).count() == 0
 
 
+@pytest.mark.parametrize("grams", [3_000_000, 0])
+def test_quality_tells_rare_scripts_from_noise(spark, monkeypatch, grams):
+    monkeypatch.setattr(quality, "GRAMS", grams, raising=False)
+    rng = random.Random(5)
+    large = [chr(0x4E00 + k) for k in range(150)]
+    small = ["ⴰⴱⴳ", "ⴷⴹⴻⴼ", "ⴽⵀⵃⵄ", "ⵅⵇⵉ", "😀𐐨"]
+    texts = ["".join(rng.choices(large, k=400)) for _ in range(30)] + [" ".join(rng.choices(small, k=15)) for _ in range(30)]
+    good, noise = " ".join(rng.choices(small, k=15)), "".join(rng.sample("".join(small) * 6, 75))
+    model = quality.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    docs = spark.createDataFrame([(1, good, "zgh"), (2, noise, "zgh"), (3, "", None), (4, None, "a"), (5, texts[0] + "unseen", "zh"), (5, good, "zgh")], "doc_id long, text string, lang string").repartition(2)
+    got = sorted((r.doc_id, r.perplexity) for r in quality.perplexity_filter(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), model).collect())
+    monkeypatch.setattr(quality, "SYMBOLS", quality.FIRST + len({*"".join(texts)}))
+    want = brute_model(texts)
+    cases = [(1, good), (2, noise), (3, ""), (4, ""), (5, texts[0] + "unseen"), (5, good)]
+    assert got == [(d, pytest.approx(p, rel=1e-9)) for d, p in sorted((d, want(t)) for d, t in cases)]
+    assert got[1][1] > 3 * got[0][1]
+
+
+def test_quality_grams_of_any_alphabet_are_exact():
+    texts = ["".join(map(chr, [*range(0x3400, 0xD800), *range(0xE000, 0xFFFF), *range(0x20000, 0x28000)])), "ab", ""]
+    contexts, symbols, which, lengths = quality._grams(texts)
+    want = [s for t in texts for x in [[0] * 3 + [ord(c) + 3 for c in t.lower()] + [1]] for s in zip(x, x[1:], x[2:], x[3:], strict=False)]
+    assert [(int(contexts[w]) >> 42, int(contexts[w]) >> 21 & 0x1FFFFF, int(contexts[w]) & 0x1FFFFF, int(symbols[w])) for w in which] == want
+    assert [*lengths] == [len(t) + 1 for t in texts]
+
+
 def test_quality_keeps_clean_and_drops_junk(spark):
     got = queries.op2_quality(spark, SF)
     labels = spark.read.parquet(f"{SF}/labels.parquet")
