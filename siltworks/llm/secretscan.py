@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import text_of
 
+_WORDS = "password|passwd|passphrase|secret|api_?key|token|private_?key|access_?key|auth|bearer|credential|pwd"
 # What a candidate looks like. Possessive, so that long texts take linear time.
+# A value is what follows an announcing word (the rest of its name and a closing quote may come between) and a separator: all
+# of a quoted one, else up to a blank. A token is any run of 16 or more characters, but for one character again and again.
 PATTERNS = {
-    "assignment": r"(?i)(?:password|passwd|secret|api_?key|token|private_key)\s{0,3}+[:=]\s{0,3}+['\"]?+([A-Za-z0-9_\-+/=]{8,}+)",
-    "long_token": r"(?<![A-Za-z0-9+/=_-])([A-Za-z+/_-]{0,40}+[0-9][A-Za-z0-9+/=_-]{15,}+)",
+    "assignment": rf"""(?i)(?:(?:{_WORDS})[A-Za-z0-9_.\-]{{0,40}}+['"\])]{{0,2}}+\s*+(?:=>|:=|[:=])|bearer\s)\s*+['"]?+((?<=['"])[^'"\n]{{8,}}+|(?<!['"])[^\s'",;]{{8,}}+)""",
+    "long_token": r"(?<![A-Za-z0-9+/_-])((?!(.)\2*+(?![A-Za-z0-9+/_-]))[A-Za-z0-9+/_-]{16,}+={0,2}+)",
 }
 #: Words that stand for no secret when they are in a value, and those that announce one, or none, near it.
 DICTIONARY = ("password", "secret", "token", "example", "sample", "test", "dummy", "changeme", "your", "here", "admin", "user", "name", "demo", "null", "none", "default", "value", "key", "insert", "placeholder", "letmein", "qwerty", "abc", "foo", "bar")
-ANNOUNCING = r"(?i)(password|passwd|secret|api_?key|token|private_key|auth|bearer|credential|pwd)\W{0,6}$"
+ANNOUNCING = rf"(?i)({_WORDS})s?(?:[_.-][a-z0-9]{{1,20}}){{0,2}}\W{{0,6}}$"
 DENYING = r"(?i)(commit|sha1|sha256|md5|checksum|hash|uuid|guid|order|card|phone|invoice|isbn|version|revision|serial|doi|digest)\W{0,6}$"
 HARMLESS_PATH = r"(?i)(test|example|fixture|sample|mock|docs?/|readme|tutorial)"
 #: Characters of a finding's surroundings that are looked at.
@@ -28,8 +31,8 @@ FEATURES = ("length", "digits", "uppers", "transitions", "repeats", "variety", "
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """doc_id, kind, value, path, before, occurrences: one row for each different value of a document's whole text.
 
-    A value that several patterns find has the first one's kind. before: up to NEAR characters before its first place. Null and
-    empty texts have no candidate; repeated rows give theirs again. Other columns are not read.
+    A value that several patterns find has the first one's kind. before: up to NEAR characters before its most telling place: the
+    first that is announced, else the first that isn't denied, else the first. Null and empty texts have no candidate; repeated rows give theirs again. Other columns are not read.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), path.alias("path"))
@@ -41,10 +44,13 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.transform(F.array_except(second, first), lambda v: F.struct(F.lit(second).alias("kind"), v.alias("value"))),
     )
     each = rows.where(f"size({first}) + size({second}) > 0").select("doc_id", "path", "text", F.explode(tagged).alias("f"))
-    at = F.instr(F.col("text"), F.col("f.value"))
-    before = F.substr(F.col("text"), F.greatest(at - NEAR, F.lit(1)), F.least(at - 1, F.lit(NEAR)))
-    times = ((F.length("text") - F.length(F.replace("text", F.col("f.value"), F.lit("")))) / F.length("f.value")).cast("long")
-    return each.select("doc_id", "f.kind", "f.value", "path", before.alias("before"), times.alias("occurrences"))
+    literal = F.concat(F.lit(r"\Q"), F.replace(F.col("f.value"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    each = each.withColumn("between", F.split("text", literal, -1)).drop("text")
+    ends = F.transform(F.slice("between", F.lit(1), F.size("between") - 1), lambda x, k: F.right(F.when(k > 0, F.concat("f.value", x)).otherwise(x), F.lit(NEAR)))
+    each = each.withColumn("ends", ends)
+    first_of = lambda keep: F.get(F.filter("ends", keep), F.lit(0))
+    before = F.coalesce(first_of(lambda x: x.rlike(ANNOUNCING)), first_of(lambda x: ~x.rlike(DENYING)), F.get("ends", F.lit(0)))
+    return each.select("doc_id", "f.kind", "f.value", "path", before.alias("before"), F.size("ends").cast("long").alias("occurrences"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -88,7 +94,11 @@ def labelled_findings(spark: SparkSession, n: int = 4_000) -> DataFrame:
     cut = lambda c, lo, hi: F.substr(c, F.lit(1), number("cut", lo, hi))
     told, plain, denied = ("password=", 'token = "', "secret: ", "api_key=", "private_key: ", "auth bearer ", "pwd="), ("and then the ", "value ", "see ", "", "of the new "), ("commit ", "sha256: ", "checksum ", "uuid ", "order ", "card ", "phone ", "serial ", "md5 ", "invoice ")
     paths, harmless = ("src0", "src7/config", "app/settings", "deploy/env"), ("tests/unit", "docs/readme", "examples/a", "fixtures/b")
-    case = F.pmod(F.xxhash64(F.lit("case"), "id"), F.lit(10))
+    letters, base32 = F.regexp_replace(base64, "[^A-Za-z]", ""), F.regexp_replace(F.upper(base64), "[^A-Z2-7]", "")
+    plain_words, code_words = ("hunter", "correct", "horse", "battery", "dragon", "summer", "monkey", "p@ssw0rd", "sunshine"), ("get", "Value", "Handler", "config", "module", "Service", "main", "build", "Index", "Request")
+    syllables = ("er", "ti", "on", "ein", "heit", "sch", "ver", "lich", "ment", "que", "an", "the", "ing", "ation")
+    joined = lambda name, words, n, *by: F.replace(F.concat_ws("\u0001", *(pick(f"{name}{k}", words) for k in range(n))), F.lit("\u0001"), pick(name, by))
+    case = F.pmod(F.xxhash64(F.lit("case"), "id"), F.lit(15))
     kinds = [
         (cut(hexes, 16, 64), pick("b", told), pick("p", paths), 1),
         (cut(base64, 20, 60), pick("b", told), pick("p", paths), 1),
@@ -100,6 +110,11 @@ def labelled_findings(spark: SparkSession, n: int = 4_000) -> DataFrame:
         (dashed, pick("b", denied + plain), pick("p", paths), 0),
         (F.concat_ws("_", pick("w1", DICTIONARY), pick("w2", DICTIONARY), pick("w3", DICTIONARY), number("n", 1, 99).cast("string")), pick("b", told + plain), pick("p", paths + harmless), 0),
         (F.when(F.col("id") % 2 == 0, F.repeat(pick("r", ("x", "0", "a1", "ab")), 12)).otherwise(cut(hexes, 16, 40)), F.when(F.col("id") % 2 == 0, pick("b", told)).otherwise(pick("b", plain + denied)), pick("p", harmless), 0),
+        (F.concat(F.lit("AKIA"), F.substr(base32, F.lit(1), F.lit(16))), pick("b", told + plain), pick("p", paths), 1),
+        (F.concat(pick("x", ("ghp_", "", "glpat-")), cut(letters, 20, 40)), pick("b", told + plain), pick("p", paths), 1),
+        (F.concat(joined("pw", plain_words, 2, "", "", "-"), pick("pe", ("", "!", "!xyz", "2024", "@1"))), pick("b", told), pick("p", paths), 1),
+        (F.when(F.col("id") % 2 == 0, F.initcap(joined("sy", syllables, 7, ""))).otherwise(joined("sy", syllables, 7, "")), pick("b", plain), pick("p", paths), 0),
+        (joined("co", code_words, 4, "", "_", "/", "-"), pick("b", plain + denied), pick("p", paths), 0),
     ]
     parts = [rows.where(case == k).select("id", v.alias("value"), b.alias("before"), p.alias("path"), F.lit(float(y)).alias("label")) for k, (v, b, p, y) in enumerate(kinds)]
     out = parts[0]

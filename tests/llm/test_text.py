@@ -150,6 +150,29 @@ def test_secrets(spark):
     assert secretscan.scan(docs.where("false"), model).count() == 0
 
 
+def test_secret_candidates_of_every_shape(spark):
+    rng = random.Random(6)
+    base32, letters, alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    made = lambda n, a: "".join(rng.choices(a, k=n))
+    shapes = [lambda: ("the key ", "AKIA" + made(16, base32)), lambda: ("auth bearer ", made(20, alnum)), lambda: ("value ", "ghp_" + made(36, letters)), lambda: ("x=", made(24, letters) + "==")]
+    cases = [rng.choice(shapes)() for _ in range(300)]
+    cases += [('"password": "', "hunterhunter"), ('{"api_key": "', "abcdefghijkl"), ("pwd=", "correcthorse"), ("client_secret_key=", "abcdefghijklm"), ('password: "', "p@ssw0rd!xyz"), ("Credential := '", "two words\\E too"), ("token   =    ", "aBcD!234")]
+    docs = spark.createDataFrame([(k, f"so {b}{v}{q} ends", "src0") for k, (b, v) in enumerate(cases) for q in ["'" if b[-1] == "'" else '"' if b[-1] == '"' else ""]], "doc_id long, text string, source string")
+    got = {(r.doc_id, r.value) for r in secretscan.candidates(docs).collect()}
+    assert {(k, v) for k, (_, v) in enumerate(cases)} <= got
+    judged = {(r.doc_id, r.value): r.is_secret for r in secretscan.scan(docs, secretscan.fit(secretscan.labelled_findings(spark))).collect()}
+    missed = [c for k, c in enumerate(cases) if not judged[k, c[1]]]
+    assert len(missed) <= 0.05 * len(cases), missed
+
+
+def test_secret_is_judged_by_its_most_telling_place(spark):
+    value = hashlib.sha1(b"2").hexdigest()
+    rows = [(1, f"commit {value} has token={value} and commit {value}"), (2, f"commit {value} sha1 {value}"), (3, "-" * 100_000 + " undchkeitachkeit tokentoken" * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.value): (r.before[-8:], r.occurrences) for r in secretscan.candidates(docs, path_col=None).collect()}
+    assert got == {(1, value): ("s token=", 3), (2, value): ("commit ", 2), (3, "undchkeitachkeit"): ("entoken ", 3)}
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 2, "assistant", "&lt; <turn> & </turn>\n"), (1, 0, "us\ner<", None), (1, 2, "assistant", "&lt; <turn> & </turn>\n"), (2, None, None, "x"), (2, 0, "assistant", ""), (None, 0, "user", "é😀")]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, seq string")
