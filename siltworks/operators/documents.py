@@ -67,7 +67,7 @@ def usable_sections(found: DataFrame, low: int = MIN_SECTION, high: int = MAX_SE
     titles = F.filter("path", lambda t: t != "")
     clean = F.regexp_replace(prose.clean_markdown(F.col("body")), r"^(?:(?:[-=~^_#*+]{3,}|\s)*\n)+", "")
     rows = found.select("source", "format", "level", "ordinal", F.array_join(titles, " > ").alias("title"), F.trim(clean).alias("clean")).where("title <> ''").where(F.length("clean").between(low, high))
-    w = Window.partitionBy(F.crc32(F.concat_ws("\0", "title", "clean"))).orderBy("source", "ordinal")
+    w = Window.partitionBy(F.sha2(F.concat_ws("\0", "title", "clean"), 256)).orderBy("source", "ordinal")
     return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -208,3 +209,19 @@ def test_ordered_concat_joins_whole_texts_of_every_row(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
     want = {c: " | ".join(f"{t}:{x}" for k, t, _, x in sorted(r for r in rows if r[3]) if k == c) for c in range(1, 42)}
     assert {r.conv_id: r.joined for r in turns.joined(df).collect()} == want
+
+
+def test_sections_of_one_crc32_are_all_kept(spark):
+    pad = "A sentence of a section that is long enough to be of use. " * 3
+    seen, pair = {}, None
+    for k in range(1_000_000):
+        clean = f"{pad}{k * 2654435761 % 2**32:08x} {k * k * 40503 % 2**32:08x}"
+        c = zlib.crc32(f"T\0{clean}".encode())
+        if c in seen:
+            pair = seen[c], clean
+            break
+        seen[c] = clean
+    assert pair[0] != pair[1]
+    rows = [("a", "md", 1, k, ["T"], x) for k, x in enumerate([*pair, pair[0]])]
+    df = spark.createDataFrame(rows, "source string, format string, level int, ordinal int, path array<string>, body string")
+    assert sorted((r.ordinal, r.clean) for r in documents.usable_sections(df).collect()) == [*enumerate(pair)]
