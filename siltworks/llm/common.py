@@ -17,7 +17,7 @@ def stage_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a local one only where it is unset and Spark is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="siltworks-stage-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -37,6 +37,14 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Smallest id reachable from every id of edges(a, b): columns id, component.
 

@@ -10,22 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.llm.common import connected_components, stage, text_of
-
-#: Symbols of a signature, bits of a symbol (a byte), and the chance that a pair just at the similarity is further apart than the distance.
-SYMBOLS, BITS, MISS = 48, 8, 1e-6
-#: Rows that a task of the last step holds, and rows (of 16 bytes) up to which a table is broadcast.
-BLOCK, ROWS = 4_000, 2_000_000
+from siltworks.llm.common import connected_components, fresh, stage, text_of
+
+#: Bits of a symbol, the least symbols of a chunk (so that a masked chunk has 48 bits at least), and the chance that a pair just at the similarity is further apart than the distance.
+BITS, LEAST, MISS = 16, 4, 1e-6
+#: A cell of the last step holds about so many rows of each side, and about so many shingles of one.
+CELL, CELL_SHINGLES = 500, 2_000_000
+#: Members of a star that meet one copy of its middle's set, and rows (of 16 bytes) up to which a table is broadcast.
+SALT_ROWS, ROWS = 2_000, 2_000_000
 #: Bytes of text that a worker hashes at a time.
 SEGMENT = 2_000_000
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """distance: signatures of a pair differ in more symbols with a chance below MISS; chunks: so many that one of them has one error at most."""
+    """symbols of a signature; distance: signatures of a pair differ in more of them with a chance below MISS; chunks: so many that one of them has one error at most."""
 
     percent: int
     shingle: int
+    symbols: int
     distance: int
     chunks: int
 
@@ -40,12 +43,16 @@ def within(percent: int, symbols: int) -> int:
 
 
 def scheme(percent: int, shingle: int) -> Scheme:
-    d = within(percent, SYMBOLS)
-    return Scheme(percent, shingle, d, d // 2 + 1)
+    """The fewest symbols whose chunks have LEAST symbols; 256 (narrower chunks, and so more chance buckets) where none do."""
+    for symbols in range(48, 257, 16):
+        d = within(percent, symbols)
+        if symbols // (d // 2 + 1) >= LEAST:
+            break
+    return Scheme(percent, shingle, symbols, d, d // 2 + 1)
 
 
-def chunk_edges(chunks: int) -> list[int]:
-    return [k * SYMBOLS // chunks for k in range(chunks + 1)]
+def chunk_edges(cfg: Scheme) -> list[int]:
+    return [k * cfg.symbols // cfg.chunks for k in range(cfg.chunks + 1)]
 
 
 def word_hashes(texts: list[str]):
@@ -138,19 +145,19 @@ def _permutations(symbols: int):
     import numpy as np
 
     rng = np.random.RandomState(20)
-    mul = (rng.randint(0, 2**31, 2 * SYMBOLS).astype(np.uint64) << np.uint64(32)) | (rng.randint(0, 2**31, 2 * SYMBOLS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-    return mul[:symbols, None], mul[SYMBOLS : SYMBOLS + symbols, None]
+    mul = (rng.randint(0, 2**31, 2 * symbols).astype(np.uint64) << np.uint64(32)) | (rng.randint(0, 2**31, 2 * symbols).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+    return mul[:symbols, None], mul[symbols:, None]
 
 
 def _minhash(s, mul, add) -> bytes:
-    """b-bit MinHash: for each permutation the top byte of a mix of the least value."""
+    """b-bit MinHash: for each permutation the top BITS bits of a mix of the least value."""
     import numpy as np
 
     low = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(s), 512):
         low = np.minimum(low, (s[i : i + 512] * mul + add).min(axis=1))
     low ^= low >> np.uint64(31)
-    return ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.uint8).tobytes()
+    return ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(">u2").tobytes()
 
 
 def _signatures(cfg: Scheme):
@@ -159,7 +166,7 @@ def _signatures(cfg: Scheme):
 
         import pyarrow as pa
 
-        mul, add = _permutations(SYMBOLS)
+        mul, add = _permutations(cfg.symbols)
         for batch in batches:
             count, digest, sig = [], [], []
             for texts in _slices(batch.column(1)):
@@ -178,31 +185,38 @@ def signatures(df: DataFrame, cfg: Scheme, id_col: str, text_col: str) -> DataFr
 
 
 def _probes(cfg: Scheme):
-    """SYMBOLS rows for a signature: for each symbol, the key of its chunk without it, as one error is allowed; the low 6 bits of the key are the symbol's place."""
+    """A row for each symbol of a signature: the key of its chunk without it, as one error is allowed; the low 8 bits of the key are the symbol's place."""
 
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        edges = np.array(chunk_edges(cfg.chunks))
+        edges = np.array(chunk_edges(cfg))
         chunk = np.repeat(np.arange(cfg.chunks), np.diff(edges))
-        mul, add = _permutations(SYMBOLS)
+        mul, add = _permutations(cfg.symbols)
         for batch in batches:
             if not len(batch):
                 continue
             rep = batch.column(0).to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(rep), SYMBOLS).astype(np.uint64) + np.uint64(1)
-            part = sig * mul[:, 0]
+            part = (_matrix(batch.column(1)).astype(np.uint64) + np.uint64(1)) * mul[:, 0]
             part ^= part >> np.uint64(31)
             part *= np.uint64(0xBF58476D1CE4E5B9)
             key = np.add.reduceat(part, edges[:-1], axis=1)[:, chunk] - part + add[:, 0]
             key ^= key >> np.uint64(30)
-            key = (key & np.uint64(2**64 - 64)) | np.arange(SYMBOLS, dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(rep, SYMBOLS))], names=["key", "rep"])
+            key *= np.uint64(0x94D049BB133111EB)
+            key = (key & np.uint64(2**64 - 256)) | np.arange(cfg.symbols, dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(rep, cfg.symbols))], names=["key", "rep"])
 
     return run
 
 
+def _matrix(sigs):
+    """A column of signatures as an array of rows of symbols."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(sigs.to_pylist()), ">u2").reshape(len(sigs), -1)
+
+
 def _set_of(cfg: Scheme, carried: tuple[str, ...]):
     """The carried columns and `words`, the sorted shingle hashes of the last column's text."""
 
@@ -239,66 +253,98 @@ def _verify(percent: int):
     return run
 
 
-def _settle(cfg: Scheme):
-    """Links between rows of a (lead, block) group, sorted with the apart rows of the block first.
+def _groups(batches, keys: int) -> Iterator:
+    """Tables of the rows that agree in the first `keys` columns, from batches sorted by them."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        cols = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)])
+        edges = [0, *(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            own = cols[:, a].tolist()
+            if held and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near_pairs(cell, cfg: Scheme):
+    """(held rows, other rows, near) of a cell: near[i, j] tells whether two rows of different components are under the distance. Of two apart rows only the lower id is held against the other."""
+    import numpy as np
+
+    held = cell.column("held").to_numpy() == 1
+    sigs, rep, comp, apart = _matrix(cell.column("sig").combine_chunks()), cell.column("rep").to_numpy(), cell.column("component").to_numpy(), cell.column("apart").to_numpy()
+    i, j = np.flatnonzero(held), np.flatnonzero(~held)
+    near = np.zeros((len(i), len(j)), bool)
+    for k, m in enumerate(i.tolist()):
+        near[k] = ((sigs[m] != sigs[j]).sum(axis=1) <= cfg.distance) & (comp[m] != comp[j]) & (~apart[j] | (rep[m] < rep[j]))
+    return i, j, near
 
-    Those, BLOCK at most, are held; every row is compared with the held ones before it that are in other components and under the
-    distance. Components joined here are joined from then on, so that of many copies each brings one link.
-    """
+
+def _partners(cfg: Scheme):
+    """The rows of a cell that have a partner in it; no pair is written."""
 
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        group, parent, out = None, {}, ([], [])
-        reps, comps, sets, sigs, pile = [], [], [], None, []
+        for cell in _groups(batches, 3):
+            i, j, near = _near_pairs(cell, cfg)
+            rows = np.sort(np.concatenate([i[near.any(axis=1)], j[near.any(axis=0)]]))
+            yield from cell.take(pa.array(rows)).combine_chunks().to_batches()
 
-        def find(x):
-            parent.setdefault(x, x)
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
+    return run
 
-        for batch in batches:
-            cols = [batch.column(k) for k in range(5)]
-            leads, blocks, held, rep, comp = (c.to_pylist() for c in cols)
-            for k in range(len(rep)):
-                if (leads[k], blocks[k]) != group:
-                    group, parent, reps, comps, sets, pile, sigs = (leads[k], blocks[k]), {}, [], [], [], [], None
-                sig = np.frombuffer(batch.column(5)[k].as_buffer(), np.uint8)
-                words = np.frombuffer(batch.column(6)[k].as_buffer(), np.uint64)
-                if reps:
-                    if sigs is None or len(sigs) < len(pile):
-                        sigs = np.stack(pile)
-                    mine = find(comp[k])
-                    for m in np.flatnonzero((sigs != sig).sum(axis=1) <= cfg.distance).tolist():
-                        if reps[m] != rep[k] and find(comps[m]) != mine and _similar(words, sets[m], cfg.percent):
-                            out[0].append(rep[k])
-                            out[1].append(reps[m])
-                            parent[find(comps[m])] = mine
-                if held[k] == 0:
-                    reps.append(rep[k])
-                    comps.append(comp[k])
-                    sets.append(words)
-                    pile.append(sig)
+
+def _settle(cfg: Scheme):
+    """Links between the held rows of a cell and its others. Components joined here are joined from then on, so that of many copies each brings one link."""
+
+    def run(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for cell in _groups(batches, 3):
+            i, j, near = _near_pairs(cell, cfg)
+            rep, comp = cell.column("rep").to_pylist(), cell.column("component").to_pylist()
+            sets = [np.frombuffer(w.as_buffer(), np.uint64) for w in cell.column("words")]
+            parent, out = {c: c for c in comp}, ([], [])
+
+            def find(x, parent=parent):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for k, m in zip(*np.nonzero(near.T), strict=True):
+                x, y = int(j[k]), int(i[m])
+                a, b = find(comp[x]), find(comp[y])
+                if a != b and _similar(sets[x], sets[y], cfg.percent):
+                    out[0].append(rep[x])
+                    out[1].append(rep[y])
+                    parent[a] = b
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
-            out = ([], [])
 
     return run
 
 
 def _longs(sig: str, n: int) -> list:
-    """A signature of n bytes as long columns' expressions, the first symbol in the top byte."""
+    """A signature of n bytes as long columns' expressions."""
     return [F.expr(f"cast(conv(hex(substring({sig}, {8 * k + 1}, 8)), 16, -10) as bigint)") for k in range(n // 8)]
 
 
 def _wrong(x, y):
-    """One set bit for each of the 8 symbols in which two longs differ (the lowest bit of its byte)."""
+    """One set bit for each of the 4 symbols in which two longs differ (the lowest bit of its 16)."""
     d = x.bitwiseXOR(y)
-    for n in (4, 2, 1):
+    for n in (8, 4, 2, 1):
         d = d.bitwiseOR(F.shiftrightunsigned(d, n))
-    return d.bitwiseAND(F.lit(0x0101010101010101))
+    return d.bitwiseAND(F.lit(0x0001000100010001))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -307,10 +353,14 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, cfg: Scheme) -> DataFrame:
-    """The staged pairs(a, b) whose full sets have the similarity. Only a's sets travel, each to its b."""
-    left = texts.join(_few(pairs), texts.rep == pairs.a).select("a", "b", "text").mapInArrow(_set_of(cfg, ("a", "b")), "a long, b long, words binary")
-    right = texts.join(_few(stage(pairs.select(F.col("b").alias("rep")).distinct(), "near-leads")), "rep").select("rep", "text").mapInArrow(_set_of(cfg, ("rep",)), "rep long, words binary")
-    both = left.join(right.select(F.col("rep").alias("b"), F.col("words").alias("y")), "b")
+    """The staged pairs(a, b) whose full sets have the similarity. Each a's set travels to its b; a b of more than SALT_ROWS pairs has a copy for each so many of them."""
+    salts = stage(pairs.groupBy("b").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "near-leads")
+    dealt = pairs.join(_few(salts), "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
+    dealt = stage(dealt, "near-dealt-pairs")
+    left = texts.join(_few(dealt), texts.rep == dealt.a).select("a", "b", "salt", "text").mapInArrow(_set_of(cfg, ("a", "b", "salt")), "a long, b long, salt int, words binary")
+    right = texts.join(_few(salts), texts.rep == salts.b).select("b", "salts", "text").mapInArrow(_set_of(cfg, ("b", "salts")), "b long, salts int, words binary")
+    right = right.select("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("words").alias("y"))
+    both = left.join(right, ["b", "salt"])
     return both.select("a", "b", F.col("words").alias("x"), "y").mapInArrow(_verify(cfg.percent), "a long, b long")
 
 
@@ -320,7 +370,7 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
     Two documents are linked if 100 * intersection >= percent * union of their
     sets of word shingles; component_id is the smallest id that links reach.
 
-    1. A document's set gives SYMBOLS symbols of BITS bits. Documents with equal sets are one class.
+    1. A document's set gives a signature of symbols of BITS bits. Documents with equal sets are one class.
     2. Multi-index Hamming join: signatures at most `distance` apart have, by the
        pigeonhole principle, a chunk with one error at most. Each symbol is
        masked in turn, and classes that share a masked chunk share a bucket. This finds all pairs
@@ -328,20 +378,21 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
     3. Star: each class is compared, on full sets, with the nearest middle of its buckets; a bucket's middle is the
        member that shares most. A group of near copies is linked so, without a pair for any two of them.
     4. Rest: members that are not in their middle's component ("apart") must meet all other members of
-       the bucket in other components. Both sides are cut to rows with a partner under the distance (a semi-join: no pair is
-       written) and go with their sets to a group of their middle, in blocks of BLOCK apart rows; there all
-       pairs under the distance are compared on full sets, but for those that are connected meanwhile.
+       its buckets in other components. A middle's rows are dealt to a grid of cells, each of about CELL apart rows and CELL others,
+       so that no task gets a large group whole. Cells first tell, by signatures, which rows have a partner under the distance (no pair is
+       written); only these bring their sets, and are compared on them but for those that are connected meanwhile.
 
     No group is capped: what step 3 doesn't link, step 4 settles. Null and empty texts have an
     empty set, and are linked with nothing. Ids must be integers; rows that repeat an id are one
     document, and a row without id is linked with nothing, has component_id null and is kept. Other columns are not read.
     """
     cfg = scheme(percent, shingle)
-    names = [f"s{k}" for k in range(SYMBOLS // 8)]
+    width = cfg.symbols * BITS // 8
+    names = [f"s{k}" for k in range(width // 8)]
     sig = stage(signatures(df, cfg, id_col, text_col), "near-signatures")
-    classes = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-    reps = stage(classes.select("digest", F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "near-classes")
-    packed = reps.select("rep", *(c.alias(n) for c, n in zip(_longs("sig", SYMBOLS), names, strict=True)))
+    classes = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m"))
+    reps = stage(classes.select("digest", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("size"), F.col("m.sig").alias("sig")), "near-classes")
+    packed = reps.select("rep", *(c.alias(n) for c, n in zip(_longs("sig", width), names, strict=True)))
     probes = reps.select("rep", "sig").mapInArrow(_probes(cfg), "key long, rep long")
     buckets = probes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stage(probes.join(buckets, "key"), "near-members")
@@ -362,22 +413,20 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
     at = members.join(component.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     open_keys = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     lead_at = middle.join(open_keys, "key").join(component, middle.lead == component.id, "left").select("key", "lead", F.coalesce("component", "lead").alias("lead_component"))
-    rest = stage(at.join(lead_at, "key").select("key", "rep", "component", "lead", (F.col("component") != F.col("lead_component")).alias("apart")), "near-rest")
-    rows = rest.join(packed, "rep")
-    side = lambda df, p: df.select("key", "lead", "apart", F.col("rep").alias(p + "rep"), F.col("component").alias(p + "component"), *(F.col(n).alias(p + n) for n in names))
-    other = lambda df, p: side(df, p).drop("lead", "apart").withColumnRenamed("key", "k")
-    pair = (F.col("key") == F.col("k")) & (F.col("xcomponent") != F.col("ycomponent")) & (distance <= cfg.distance)
-    # rows with an apart partner, and apart rows with any partner; no pair is written
-    some = side(rows, "y").join(other(rows.where("apart"), "x"), pair, "left_semi").select("lead", "apart", F.col("yrep").alias("rep"), F.col("ycomponent").alias("component"))
-    own_side = side(rows.where("apart"), "x").join(other(rows, "y"), pair, "left_semi").select("lead", "apart", F.col("xrep").alias("rep"), F.col("xcomponent").alias("component"))
-    left = stage(some.union(own_side).groupBy("lead", "rep", "component").agg(F.max("apart").alias("apart")), "near-left")
-    blocks = left.where("apart").groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = left.join(blocks, "lead").withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = stage(dealt.select("lead", "block", F.when(F.col("apart") & (F.col("own") == F.col("block")), 0).otherwise(1).alias("held"), "rep", "component"), "near-dealt")
-    sets = texts.join(_few(stage(dealt.select("rep").distinct(), "near-left-ids")), "rep").mapInArrow(_set_of(cfg, ("rep",)), "rep long, words binary")
-    full = dealt.join(sets, "rep").join(reps.select("rep", "sig"), "rep").select("lead", "block", "held", "rep", "component", "sig", "words")
-    more = full.repartition("lead", "block").sortWithinPartitions("lead", "block", "held", "rep").mapInArrow(_settle(cfg), "a long, b long")
+    rest = at.join(lead_at, "key").select("lead", "rep", "component", (F.col("component") != F.col("lead_component")).alias("apart")).distinct()
+    rest = stage(rest.join(reps.select("rep", "size"), "rep"), "near-rest")
+    held = F.ceil(F.count_if("apart") / CELL + F.sum(F.when(F.col("apart"), F.col("size")).otherwise(0)) / CELL_SHINGLES).cast("int")
+    grid = rest.groupBy("lead").agg(held.alias("held_blocks"), F.ceil(F.count("*") / CELL).cast("int").alias("blocks")).where("held_blocks > 0")
+    placed = rest.drop("size").join(_few(stage(grid, "near-grid")), "lead")
+    own = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = placed.where("apart").withColumn("i", own(1, "held_blocks")).withColumn("j", every("blocks")).withColumn("held", F.lit(1))
+    dealt = dealt.unionByName(placed.withColumn("j", own(2, "blocks")).withColumn("i", every("held_blocks")).withColumn("held", F.lit(0)))
+    dealt = dealt.join(reps.select("rep", "sig"), "rep").select("lead", "i", "j", "held", "rep", "component", "apart", "sig")
+    cells = lambda rows: rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+    left = stage(cells(dealt).mapInArrow(_partners(cfg), dealt.schema), "near-left")
+    sets = texts.join(_few(stage(left.select("rep").distinct(), "near-left-ids")), "rep").mapInArrow(_set_of(cfg, ("rep",)), "rep long, words binary")
+    more = cells(left.join(sets, "rep").select("lead", "i", "j", "held", "rep", "component", "apart", "sig", "words")).mapInArrow(_settle(cfg), "a long, b long")
     component = connected_components(linked.union(stage(more, "near-more")), "near-all")
 
     out = sig.join(reps.select("digest", "rep"), "digest", "left").join(component, F.col("rep") == component.id, "left")
@@ -387,5 +436,6 @@ def near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col:
 
 def drop_near_duplicates(df: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each component, that of the smallest id; columns and texts unchanged."""
-    gone = near_duplicates(df, percent, shingle, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(gone, df[id_col] == gone["__id"], "left_anti")
+    own = fresh(df, "id")
+    gone = near_duplicates(df, percent, shingle, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(own)).distinct()
+    return df.join(gone, F.col(id_col) == F.col(own), "left_anti")

@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltworks.llm import exactdup, neardup, substrdup
 
@@ -53,6 +54,26 @@ def test_exact_hot_groups_are_salted(spark, monkeypatch):
     assert kept.columns == ["doc_id", "text", "sha", "rep", "key"] and kept.count() == len({t for _, t in rows})
 
 
+@pytest.mark.parametrize("hot", [1_000, 4])
+def test_exact_texts_that_share_a_digest_are_told_apart(spark, monkeypatch, hot):
+    monkeypatch.setattr(exactdup, "_digest", lambda body: F.substring(F.sha2(body, 256), 1, 1))
+    monkeypatch.setattr(exactdup, "HOT_ROWS", hot)
+    rows = [(k, f"text {k % 37}") for k in range(120)] + [(5, "text 5"), (None, "text 1"), (200, None), (201, "")]
+    got = exactdup.exact_duplicates(docs(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == 38
+    for r in got:
+        if r.doc_id is not None:
+            same = [d for d, t in rows if (t or "") == (dict(rows)[r.doc_id] or "")]
+            assert r.keep_id == max(d for d in same if d is not None) and r.group_size == len(same) and (not r.kept or r.doc_id == r.keep_id)
+
+
+def test_exact_keeps_columns_of_any_name_and_long_texts(spark):
+    long = "word " * 2_000_000
+    rows = spark.createDataFrame([(1, long, "a", 1), (2, long, "b", 2), (3, long + ".", "c", 3)], "doc_id long, text string, key string, sha long")
+    kept = exactdup.drop_exact_duplicates(rows).select("doc_id", "key", "sha").collect()
+    assert sorted(map(tuple, kept)) == [(2, "b", 2), (3, "c", 3)]
+
+
 def test_exact_empty_table(spark):
     assert exactdup.exact_duplicates(docs(spark, [(1, "a")]).where("false")).count() == 0
 
@@ -77,8 +98,10 @@ def near_brute(rows, percent, shingle):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize(("percent", "shingle"), [(85, 3), (80, 5)])
-def test_near_components_equal_brute_force(spark, percent, shingle):
+@pytest.mark.parametrize(("percent", "shingle", "cell"), [(85, 3, 500), (80, 5, 500), (80, 5, 4)])
+def test_near_components_equal_brute_force(spark, monkeypatch, percent, shingle, cell):
+    monkeypatch.setattr(neardup, "CELL", cell)
+    monkeypatch.setattr(neardup, "SALT_ROWS", cell)
     rng, rows = random.Random(percent), []
     for _ in range(12):  # families of copies with growing changes, linked or not, directly or by others
         base = words(rng, rng.choice([8, 30, 120]))
@@ -90,6 +113,33 @@ def test_near_components_equal_brute_force(spark, percent, shingle):
     assert got == near_brute(rows, percent, shingle)
 
 
+def test_near_hot_group_is_dealt_to_cells(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", 10)
+    rng = random.Random(9)
+    base = words(rng, 60)
+    rows = list(enumerate([" ".join(mutated(rng, base, rng.choice([0.01, 0.03, 0.05]))) for _ in range(150)] + [" ".join(words(rng, 30)) for _ in range(30)]))
+    seen, settle = [], neardup._settle
+    monkeypatch.setattr(neardup, "_settle", lambda cfg: seen.append(1) or settle(cfg))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(spark, rows), 80, 5).collect()}
+    assert seen and got == near_brute(rows, 80, 5)
+
+
+def test_cells_are_whole_whatever_the_batches():
+    import pyarrow as pa
+
+    table = pa.table({"a": [1, 1, 1, 2, 2, 3], "b": [0, 0, 1, 1, 1, 1], "x": [*range(6)]})
+    for size in (1, 2, 4, 6):
+        got = [t.column("x").to_pylist() for t in neardup._groups(iter(table.to_batches(max_chunksize=size)), 2)]
+        assert got == [[0, 1], [2], [3, 4], [5]]
+
+
+def test_keys_of_masked_chunks_are_wide():
+    for percent, shingle in ((85, 3), (80, 5)):
+        cfg = neardup.scheme(percent, shingle)
+        edges = neardup.chunk_edges(cfg)
+        assert cfg.chunks > cfg.distance // 2 and edges[-1] == cfg.symbols and (min(np.diff(edges)) - 1) * neardup.BITS >= 48
+
+
 def test_near_edge_rows(spark):
     rows = [(4, "a b c d"), (4, "a b c d"), (None, "a b c d"), (2, "A b c d"), (9, "q r s")]
     got = neardup.near_duplicates(docs(spark, rows), 85, 3).collect()
