@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +82,13 @@ def matcher(lexicon: Lexicon):
     def hits(text: str) -> tuple[float, int]:
         words = text.count(" ") - 1 if text.strip() else 0
         found = [(end - size + 1, end, weight) for end, (weight, size) in automaton.iter(text)] if len(automaton) else []
-        masks = [(a, b) for a, b, w in found if not w]
+        # exceptions by start, each with the furthest end of those up to it: the last one that starts before a hit tells whether any holds it
+        masks = sorted((a, b) for a, b, w in found if not w)
+        starts, ends = [a for a, _ in masks], [*accumulate((b for _, b in masks), max)]
         total, last = 0.0, -1
         for a, b, w in found:
             # overlapping terms count once; a hit inside an exception doesn't
-            if w and a > last and not any(x <= a and b <= y for x, y in masks):
+            if w and a > last and not ((k := bisect_right(starts, a)) and ends[k - 1] >= b):
                 total += w
                 last = b - 1
         return total, words

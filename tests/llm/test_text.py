@@ -31,6 +31,27 @@ def test_matcher_counts_terms_but_not_inside_exceptions():
     assert toxicity.matcher(toxicity.Lexicon({}))("  ") == (0.0, 0)
 
 
+def test_matcher_is_linear_in_hits_and_equals_all_pairs():
+    import time
+
+    rng = random.Random(8)
+    lexicon = toxicity.Lexicon({"ab": 1.0, "b a": 2.0, " cab ": 3.0}, (" ab ", "b ab c", "cabs"))
+    for _ in range(200):
+        text = toxicity.fold(" ".join(rng.choice(["ab", "cab", "cabs", "b", "abc", "c"]) for _ in range(20)))
+        found = lambda words: sorted((e + 1, k) for k, w in enumerate(words) for e in range(len(text)) if text.startswith(w, e + 1 - len(w)) and e + 1 >= len(w))
+        masks = [(e - len(lexicon.exceptions[k]), e - 1) for e, k in found(lexicon.exceptions)]
+        got, words = toxicity.matcher(lexicon)(text)
+        terms, total, last = list(lexicon.terms.items()), 0.0, -1
+        for e, k in sorted(found([t for t, _ in terms]), key=lambda x: (x[0], -len(terms[x[1]][0]))):
+            a = e - len(terms[k][0])
+            if a > last and not any(x <= a and e - 1 <= y for x, y in masks):
+                total, last = total + terms[k][1], e - 2
+        assert (got, words) == (total, 20)
+    began = time.time()
+    toxicity.matcher(lexicon)(" cabs ab " * 400_000)
+    assert time.time() - began < 20
+
+
 def test_toxicity_finds_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = queries.op1_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").groupBy("toxic", "predicted").count().collect()
@@ -274,7 +295,7 @@ def test_packing_whole_table(spark, monkeypatch, plan_rows):
 def leaks_brute(docs, items):
     import regex
 
-    words = lambda t: [w for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w]
+    words = lambda t: regex.findall(r"(?V1)[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[[\p{L}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]]+", (t or "").lower())
     out = set()
     for d, t in docs:
         w = words(t)
@@ -282,6 +303,8 @@ def leaks_brute(docs, items):
             own = words(x)
             n = min(len(own), decontam.WINDOW)
             if len(own) < decontam.SPAN:
+                if own and (own == w if len(own) < decontam.RUN else any(own == w[b : b + n] for b in range(len(w) - n + 1))):
+                    out.add((d, i))
                 continue
             for a in range(len(own) - n + 1):
                 if any(sum(p == q for p, q in zip(own[a : a + n], w[b : b + n], strict=True)) * 100 >= decontam.PERCENT * n for b in range(len(w) - n + 1)):
@@ -292,7 +315,7 @@ def leaks_brute(docs, items):
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(4)
     make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
-    items = [(k, " ".join(make(rng.choice([7, 8, 12, 13, 40])))) for k in range(20)] + [(99, None)]
+    items = [(k, " ".join(make(rng.choice([7, 8, 12, 13, 40])))) for k in range(20)] + [(99, None), (98, "a b"), (97, "one"), (96, "where do they all go"), (95, ""), (94, "東京は日本の首都である都市"), (93, "สวัสดีชาวโลก")]
     docs = []
     for d in range(120):
         own = items[rng.randrange(20)][1].split()
@@ -300,11 +323,12 @@ def test_decontamination_equals_brute_force(spark):
         for k in rng.sample(range(len(cut)), min(len(cut), rng.randrange(5))):
             cut[k] = "changed"
         docs.append((d, " ".join(make(20) + cut + make(9)).upper()))
-    docs += [(200, None), (201, ""), (202, items[1][1])]
+    docs += [(200, None), (201, ""), (202, items[1][1]), (203, "A, b!"), (204, "a b c"), (205, "so where do they all go now"), (206, "where do they go"), (207, "前に東京は日本の首都である町だ"), (208, "one"), (202, "other text"), (None, items[4][1]), (None, "x " + items[5][1]), (None, "clean")]
+    docs += [(209, " ".join(["filler"] * 30_000 + [items[6][1]] + ["filler"] * 30_000)), (209, items[7][1])]
     df, bench = spark.createDataFrame([(*r, "s", 1) for r in docs], "doc_id long, text string, seed string, item_id int"), spark.createDataFrame(items, "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, bench).collect()} == leaks_brute(docs, items)
     rows = decontam.contaminated(df, bench).collect()
-    assert len(rows) == len(docs) and {r.doc_id for r in rows if r.contaminated} == {d for d, _ in leaks_brute(docs, items)}
+    assert len(rows) == len(docs) and {r.doc_id for r in rows if r.contaminated} == {d for d, _ in leaks_brute(docs, items)} >= {203, 205, 207, 208, 209, None}
     assert decontam.drop_contaminated(df, bench).columns == df.columns
     assert decontam.contaminated(df, bench.where("false")).where("contaminated").count() == 0
 
