@@ -11,7 +11,7 @@ from siltworks.llm.common import stage, text_of
 
 #: A repeated string of LENGTH bytes holds an anchor of GRAM bytes: the least hash among its grams.
 LENGTH, GRAM = 100, 64
-#: Anchors with more occurrences than this are compared window by window instead of in one task.
+#: Anchors with more occurrences than this are compared string by string instead of in one task.
 HOT = 20_000
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, they are joined by a shuffle.
 IDS = 2_000_000
@@ -264,19 +264,17 @@ def _group_repeats(batches) -> Iterator:
 
 
 def _windows(batches) -> Iterator:
-    """(digest, doc_id, start) of every string of LENGTH bytes around a hot anchor."""
-    import hashlib
-
+    """(string, doc_id, start) of every string of LENGTH bytes around a hot anchor."""
     import pyarrow as pa
 
     for batch in batches:
-        docs, starts, digests = [], [], []
+        docs, starts, strings = [], [], []
         for _, doc, pos, before, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for k in range(len(data) - LENGTH + 1):
                 docs.append(doc)
                 starts.append(pos - before + k)
-                digests.append(hashlib.blake2b(data[k : k + LENGTH], digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(docs, pa.int64()), pa.array(starts, pa.int64())], names=["digest", "doc_id", "start"])
+                strings.append(data[k : k + LENGTH])
+        yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary()), pa.array(docs, pa.int64()), pa.array(starts, pa.int64())], names=["string", "doc_id", "start"])
 
 
 def _cut(batches) -> Iterator:
@@ -323,7 +321,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     2. Equal strings have equal anchors, so only anchors that occur twice can hold a repeat. Their counts are joined to their places.
     3. Of the texts around these places, different ones are sorted by their suffixes in two stages; neighbours with
        LENGTH common bytes are repeats, of which the earliest stays. An anchor with more than `hot` places is no task's
-       group: its strings are digested, and a partial minimum finds the earliest.
+       group: a partial minimum by whole string finds the earliest place of each.
     4. The intervals of starts are merged per document.
 
     Ids must be integers. Null text is empty; texts below LENGTH bytes and rows without id lose nothing.
@@ -344,11 +342,14 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cold = cold.repartition("hash").sortWithinPartitions("hash", "doc_id", "pos").mapInArrow(_group_repeats, "doc_id long, lo long, hi long")
     starts = stage(cold, "passages-starts")
     if places.where(F.exists("places", lambda x: x["n"] > hot)).limit(1).count():
-        windows = chosen.select("doc_id", "text", F.filter("places", lambda x: x["n"] > hot).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields).mapInArrow(_windows, "digest binary, doc_id long, start long")
-        windows = stage(windows, "passages-windows")
-        earliest = windows.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("m"))
-        later = windows.join(earliest, "digest").where("doc_id <> m.doc_id OR start <> m.start")
-        starts = starts.union(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")).distinct())
+        windows = chosen.select("doc_id", "text", F.filter("places", lambda x: x["n"] > hot).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields).mapInArrow(_windows, "string binary, doc_id long, start long")
+        # a partial minimum by whole string finds the earliest places; all other places are later ones. Both tables are spread by place, whatever the string.
+        earliest = stage(windows.groupBy("string").agg(F.min(F.struct("doc_id", "start")).alias("m")).select("m.*").distinct(), "passages-earliest")
+        at = chosen.select("doc_id", F.octet_length("text").alias("size"), F.explode(F.filter("places", lambda x: x["n"] > hot)).alias("p"))
+        first, last = F.greatest(F.lit(0), F.col("p.pos") - (LENGTH - GRAM)), F.least("p.pos", F.col("size") - LENGTH)
+        at = at.where(first <= last).select("doc_id", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("start"))
+        later = at.distinct().join(earliest, ["doc_id", "start"], "left_anti")
+        starts = starts.union(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
     spans = stage(starts.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("starts")), "passages-spans")
     cut = _semi(texts, spans.select("doc_id"), "left_semi").join(spans, "doc_id").select("doc_id", "text", "starts").mapInArrow(_cut, "doc_id long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.withColumn("n_kept", F.octet_length("kept")) if keep_bytes else cut.drop("kept")
