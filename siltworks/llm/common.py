@@ -32,6 +32,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_in_buckets(df: DataFrame, label: str, key: str) -> DataFrame:
+    """As stage, with the rows of a key in one bucket, so that grouping by it later moves none of them. There are as many buckets as shuffle partitions."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{stage_root(spark)}/{name}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def text_of(name: str = "text") -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

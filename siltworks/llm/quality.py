@@ -7,21 +7,21 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import stage, text_of
+from siltworks.llm.common import stage, staged_in_buckets, text_of
 
 #: The model is of ORDER-grams of symbols: begin, end, unknown, and every character at its code point plus FIRST, in BITS bits.
 #: All characters of the trusted text are its alphabet, which counts as SYMBOLS symbols at least.
 SYMBOLS, ORDER, BITS = 64, 4, 21
 BEGIN, END, UNKNOWN, FIRST = 0, 1, 2, 3
-#: A model of up to so many grams (32 bytes each) is broadcast; beyond, the documents' grams are joined with it by shuffles.
-GRAMS = 3_000_000
+#: Characters of a block: the different grams of its documents are joined with the counts together.
+BLOCK = 16_000_000
 #: Texts above this share of the trusted texts of their language are rejected. The share is taken of the
 #: trusted texts that the model wasn't trained on (crc32 of the id, mod CALIBRATE, is 0), as it knows the others too well.
 QUANTILE, CALIBRATE = 0.995, 5
 #: Ids of trusted texts are broadcast up to so many rows (8 bytes each); beyond, they are joined by a shuffle.
 IDS = 2_000_000
-#: Characters that a worker handles at a time.
-SEGMENT = 2_000_000
+#: Characters that a worker handles at a time, and places of a table that finds the different ones among them without sorting.
+SEGMENT, TABLE = 2_000_000, 1 << 25
 
 
 def _symbols(text: str):
@@ -44,6 +44,20 @@ def _segments(texts) -> Iterator[tuple[list[str], list[int]]]:
         yield held, rows
 
 
+def _distinct(g, bound: int):
+    """np.unique(g, return_inverse=True) of numbers below bound, by a table where that is small."""
+    import numpy as np
+
+    if bound > TABLE:
+        return np.unique(g, return_inverse=True)
+    seen = np.zeros(bound, bool)
+    seen[g] = True
+    own = np.flatnonzero(seen)
+    rank = np.empty(bound, np.int32)
+    rank[own] = np.arange(len(own), dtype=np.int32)
+    return own, rank[g]
+
+
 def _grams(texts: list[str]):
     """The different grams of texts as contexts (symbols of BITS bits each) and symbols; which of them each predicted symbol has, one text after the other; and how many each text has (its length and the end)."""
     import numpy as np
@@ -65,7 +79,7 @@ def _grams(texts: list[str]):
         g = np.zeros(n, np.int64)
         for k in range(ORDER):
             g = g * size + rank[k : k + n]
-        own, which = np.unique(g[keep], return_inverse=True)
+        own, which = _distinct(g[keep], size**ORDER)
         symbols, contexts = alphabet[own % size], np.zeros(len(own), np.int64)
         for k in range(ORDER - 1):
             contexts |= alphabet[own // size ** (k + 1) % size] << (BITS * k)
@@ -107,10 +121,6 @@ class Model:
     def __init__(self, size: int, contexts: list[DataFrame], grams: list[DataFrame]):
         self.size, self.contexts, self.grams = size, contexts, grams
 
-    def count(self) -> int:
-        return sum(g.count() for g in self.grams)
-
-
 def _last(context: Column, order: int) -> Column:
     """The context that an order sees of a longer one."""
     return context.bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1).cast("long"))
@@ -145,83 +155,84 @@ def train(trusted: DataFrame) -> Model:
     return Model(size, contexts, grams)
 
 
-def _tables(model: Model) -> list:
-    """By order: contexts in order, their weights, grams (number of the context, then symbol) in order, their probabilities."""
-    import numpy as np
+def _packed(ids, langs, texts: list[str]) -> bytes:
+    import pyarrow as pa
 
-    out = []
-    for c, g in zip(model.contexts, model.grams, strict=True):
-        c, g = c.toPandas().sort_values("context"), g.toPandas()
-        contexts = c["context"].to_numpy()
-        keys = np.searchsorted(contexts, g["context"].to_numpy()) << BITS | g["symbol"].to_numpy()
-        by = np.argsort(keys)
-        out.append((contexts, c["weight"].to_numpy(), keys[by], g["p"].to_numpy()[by]))
-    return out
+    batch = pa.record_batch([ids, langs, pa.array(texts, pa.string())], names=["doc_id", "lang", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def _logs(tables: list, size: int, contexts, symbols):
-    """Natural logarithms of the probabilities of grams: where an order doesn't know a gram, its context's weight of the next lower order's."""
+def _ordered(contexts, symbols):
+    """The different pairs of contexts and symbols, in order."""
     import numpy as np
 
-    p = np.full(len(symbols), 1 / (size - 1))
-    for k, (known, weights, keys, own) in enumerate(tables):
-        if not len(known):
-            continue
-        c = contexts & ((1 << BITS * k) - 1)
-        at = np.minimum(np.searchsorted(known, c), len(known) - 1)
-        has = known[at] == c
-        p = np.where(has, weights[at], 1.0) * p
-        key = at << BITS | symbols
-        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        p = np.where(has & (keys[place] == key), own[place], p)
-    return np.log(p)
-
-
-def _perplexities(size: int, shared):
-    def run(batches) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            out = np.zeros(len(batch))
-            for held, rows in _segments(batch.column(1)):
-                contexts, symbols, which, lengths = _grams(held)
-                begins = np.cumsum(lengths) - lengths
-                out[rows] = np.exp(-np.add.reduceat(_logs(shared.value, size, contexts, symbols)[which], begins) / lengths)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out)], names=["doc_id", "lang", "perplexity"])
-
-    return run
-
-
-def _row_grams(batches) -> Iterator:
-    """For each row its id, language and number of places, without a symbol; and its different grams, each with its number of places."""
+    by = np.lexsort((symbols, contexts))
+    contexts, symbols = contexts[by], symbols[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (contexts[1:] != contexts[:-1]) | (symbols[1:] != symbols[:-1])
+    return contexts[new], symbols[new]
+
+
+def _blocks(batches) -> Iterator:
+    """For each block of documents (about BLOCK characters of a partition) a row for each different gram, and its documents, packed, in rows without a gram."""
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
 
-    at = TaskContext.get().partitionId() << 40
-    names = ["row", "doc_id", "lang", "context", "symbol", "n"]
+    names = ["block", "context", "symbol", "packed"]
+    block, size, grams = TaskContext.get().partitionId() << 32, 0, []
+
+    def close():
+        contexts, symbols = _ordered(*(np.concatenate(c) for c in zip(*grams, strict=True)))
+        for k in range(0, len(contexts), 200_000):
+            c, own = contexts[k : k + 200_000], symbols[k : k + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), block)), pa.array(c), pa.array(own), pa.nulls(len(c), pa.binary())], names=names)
+
     for batch in batches:
-        numbers = np.arange(at, at + len(batch))
-        at += len(batch)
-        sizes = np.zeros(len(batch), np.int64)
         for held, rows in _segments(batch.column(1)):
-            contexts, symbols, which, lengths = _grams(held)
-            sizes[rows] = lengths
-            each, n = np.unique(np.repeat(np.arange(len(held)), lengths) * len(contexts) + which, return_counts=True)
-            row, g = numbers[rows][each // len(contexts)], each % len(contexts)
-            for k in range(0, len(n), 200_000):
-                part = slice(k, k + 200_000)
-                nulls = [pa.nulls(len(n[part]), batch.column(c).type) for c in (0, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(row[part]), *nulls, pa.array(contexts[g[part]]), pa.array(symbols[g[part]]), pa.array(n[part])], names=names)
-        none = pa.nulls(len(batch), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0), batch.column(2), none, none, pa.array(sizes)], names=names)
-
+            contexts, symbols, _, lengths = _grams(held)
+            grams.append((contexts, symbols))
+            packed = _packed(batch.column(0).take(pa.array(rows)), batch.column(2).take(pa.array(rows)), held)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), *[pa.nulls(1, pa.int64())] * 2, pa.array([packed], pa.binary())], names=names)
+            size += int(lengths.sum())
+            if size > BLOCK:
+                yield from close()
+                block, size, grams = block + 1, 0, []
+    if grams:
+        yield from close()
+
+
+def _scores(documents, grams):
+    """doc_id, lang, perplexity of a block's packed documents, given its grams and their logarithms."""
+    import numpy as np
+    import pyarrow as pa
 
-def _joined_perplexities(rows: DataFrame, model: Model, id_type: str) -> DataFrame:
-    """The same as _perplexities by joins: the documents' different grams meet each order's tables, then every row's grams meet theirs."""
-    found = stage(rows.mapInArrow(_row_grams, f"row long, doc_id {id_type}, lang string, context long, symbol long, n long"), "quality-grams")
-    grams = found.where("symbol IS NOT NULL").select("row", "context", "symbol", "n")
+    contexts, symbols, logs = (grams.column(k).to_numpy() for k in ("context", "symbol", "log"))
+    known = np.unique(contexts)
+    keys = np.searchsorted(known, contexts) << BITS | symbols
+    by = np.argsort(keys)
+    keys, logs, out = keys[by], logs[by], []
+    for packed in documents.column("packed"):
+        table = pa.ipc.open_stream(packed.as_buffer()).read_all()
+        contexts, symbols, which, lengths = _grams(table.column("text").to_pylist())
+        own = logs[np.searchsorted(keys, np.searchsorted(known, contexts) << BITS | symbols)]
+        sums = np.add.reduceat(own[which], np.cumsum(lengths) - lengths)
+        out.append(table.drop_columns("text").append_column("perplexity", pa.array(np.exp(-sums / lengths))))
+    return pa.concat_tables(out)
+
+
+def _perplexities(rows: DataFrame, model: Model, id_type: str) -> DataFrame:
+    """doc_id, lang, perplexity of rows(doc_id, text, lang).
+
+    The different grams of all blocks are joined with the counts of each order, shard by shard; every block then gets
+    the logarithms of its own grams by another join, and sums them for each of its documents. Blocks are written in buckets, so that
+    the packed documents wait there and only grams travel.
+    """
+    found = staged_in_buckets(rows.mapInArrow(_blocks, "block long, context long, symbol long, packed binary"), "quality-blocks", "block")
+    grams = found.where("symbol IS NOT NULL").select("block", "context", "symbol")
     p = grams.select("context", "symbol").distinct().withColumn("p", F.lit(1 / (model.size - 1)))
     for k, (contexts, own) in enumerate(zip(model.contexts, model.grams, strict=True), 1):
         contexts, own = contexts.select(F.col("context").alias("c"), "weight"), own.select(F.col("context").alias("c2"), F.col("symbol").alias("s2"), F.col("p").alias("own"))
@@ -230,9 +241,9 @@ def _joined_perplexities(rows: DataFrame, model: Model, id_type: str) -> DataFra
         p = p.join(contexts, _last(F.col("context"), k) == F.col("c"), "left").join(own, (_last(F.col("context"), k) == F.col("c2")) & (F.col("symbol") == F.col("s2")), "left")
         p = p.select("context", "symbol", F.coalesce("own", F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p"))
     logs = stage(p.select("context", "symbol", F.log("p").alias("log")), "quality-logs")
-    sums = grams.join(logs, ["context", "symbol"]).groupBy("row").agg(F.sum(F.col("n") * F.col("log")).alias("sum"))
-    heads = found.where("symbol IS NULL").select("row", "doc_id", "lang", F.col("n").alias("places"))
-    return heads.join(sums, "row").select("doc_id", "lang", F.exp(-F.col("sum") / F.col("places")).alias("perplexity"))
+    fetched = grams.join(logs, ["context", "symbol"]).select(F.col("block").alias("of"), "context", "symbol", "log")
+    packed = found.where("symbol IS NULL").select("block", "packed")
+    return packed.groupBy("block").cogroup(fetched.groupBy("of")).applyInArrow(_scores, f"doc_id {id_type}, lang string, perplexity double")
 
 
 def calibrates(id_col: str):
@@ -259,16 +270,10 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, model: Model | None =
     of them, and without any trusted text all rows stay. Null and empty texts have the perplexity of a
     text's end at its beginning. Repeated rows are judged each; an empty table gives no rows.
     """
-    spark = docs.sparkSession
     model = model or train(trusted_texts(docs, labels, id_col, text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("\0")).alias("lang"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    if model.count() <= GRAMS:
-        shared = spark.sparkContext.broadcast(_tables(model))
-        scores = rows.mapInArrow(_perplexities(model.size, shared), f"doc_id {id_type}, lang string, perplexity double")
-    else:
-        scores = _joined_perplexities(rows, model, id_type)
-    scored = stage(scores, "quality-scores")
+    scored = stage(_perplexities(rows, model, id_type), "quality-scores")
     good = scored.where(calibrates("doc_id")).join(trusted_ids(labels, id_col), F.col("doc_id") == F.col("__id"), "left_semi")
     cut = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = good.groupBy(F.col("lang").alias("__lang")).agg(cut.alias("own"))

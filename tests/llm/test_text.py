@@ -123,9 +123,10 @@ def test_quality_model_equals_its_definition(spark):
     assert quality.perplexity_filter(docs.where("false"), labels, model).count() == 0
 
 
-@pytest.mark.parametrize("grams", [3_000_000, 0])
-def test_quality_tells_rare_scripts_from_noise(spark, monkeypatch, grams):
-    monkeypatch.setattr(quality, "GRAMS", grams, raising=False)
+@pytest.mark.parametrize("block", [16_000_000, 300])
+def test_quality_tells_rare_scripts_from_noise(spark, monkeypatch, block):
+    monkeypatch.setattr(quality, "BLOCK", block)
+    monkeypatch.setattr(quality, "SEGMENT", block)
     rng = random.Random(5)
     large = [chr(0x4E00 + k) for k in range(150)]
     small = ["ⴰⴱⴳ", "ⴷⴹⴻⴼ", "ⴽⵀⵃⵄ", "ⵅⵇⵉ", "😀𐐨"]
