@@ -11,7 +11,7 @@ from siltworks.llm.common import stage, text_of
 
 #: A repeated string of LENGTH bytes holds an anchor of GRAM bytes: the least hash among its grams.
 LENGTH, GRAM = 100, 64
-#: Anchors with more occurrences than this are compared string by string instead of in one task.
+#: Of anchors with more occurrences than this, equal snippets are merged before they meet in one task; with more different snippets than this, they don't.
 HOT = 20_000
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, they are joined by a shuffle.
 IDS = 2_000_000
@@ -42,7 +42,7 @@ def _sorted_directly(data, starts, depth: int):
     return order
 
 
-def suffix_array(data, depth: int):
+def suffix_array(data, depth: int, wanted=None):
     """Suffixes of a uint8 array in the order of their first `depth` bytes, by two-stage sorting.
 
     Only suffixes smaller than their successors are sorted directly, by their
@@ -50,7 +50,8 @@ def suffix_array(data, depth: int):
     high: one begins with r equal bytes and then a lower one, so within its bucket it is placed by (r,
     rank of the suffix after these), which is known by then; in a bucket the induced ones
     come first. Beyond the end, bytes count as lower than all. Suffixes that agree in
-    `depth` bytes are neighbours, in any order.
+    `depth` bytes are neighbours, in any order. wanted: a mask of the suffixes asked for (default: all); those that
+    these are induced from are sorted as well.
     """
     import numpy as np
 
@@ -63,13 +64,20 @@ def suffix_array(data, depth: int):
     stops = bounds[np.searchsorted(bounds, np.arange(n), side="right")]
     after = np.where(stops < n, data[np.minimum(stops, n - 1)].astype(np.int16), -1)
     smaller = after > data
-    direct = _sorted_directly(data, np.flatnonzero(smaller), depth)
+    wanted = np.ones(n, bool) if wanted is None else wanted.copy()
+    new = np.flatnonzero(wanted)
+    while len(new):
+        sources = stops[new[~smaller[new]]]
+        new = np.unique(sources[sources < n])
+        new = new[~wanted[new]]
+        wanted[new] = True
+    direct = _sorted_directly(data, np.flatnonzero(smaller & wanted), depth)
     direct_of = np.split(direct, np.searchsorted(data[direct], np.arange(1, 256)))
-    induced = np.flatnonzero(~smaller)
+    induced = np.flatnonzero(~smaller & wanted)
     induced = induced[np.argsort(data[induced], kind="stable")]
     induced_of = np.split(induced, np.searchsorted(data[induced], np.arange(1, 256)))
     rank = np.full(n + 1, -1, np.int64)  # the empty suffix ranks lowest
-    out, placed = np.empty(n, np.int64), 0
+    out, placed = np.empty(len(direct) + len(induced), np.int64), 0
     for low, own in zip(induced_of, direct_of, strict=True):
         low = low[np.lexsort((rank[stops[low]], stops[low] - low))]
         for part in (low, own):
@@ -154,39 +162,35 @@ def _anchor_rows(batches) -> Iterator:
 
 def _snippets(batches) -> Iterator:
     """For each anchor the bytes that a string of LENGTH bytes around it can hold, and how many of them stand before it."""
+    import numpy as np
     import pyarrow as pa
 
-    reach = LENGTH - GRAM
+    reach, names = LENGTH - GRAM, ["hash", "doc_id", "pos", "before", "bytes"]
     for batch in batches:
-        cols = [[], [], [], [], []]
-
-        def out(cols=cols):
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["hash", "doc_id", "pos", "before", "bytes"])
-
-        for doc, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            data = text.as_buffer().to_pybytes()
-            for x in found:
-                pos = x["pos"]
-                first = max(0, pos - reach)
-                cols[0].append(x["hash"])
-                cols[1].append(doc)
-                cols[2].append(pos)
-                cols[3].append(pos - first)
-                cols[4].append(data[first : pos + LENGTH])
-            if len(cols[0]) > 20_000:
-                yield out()
-                for c in cols:
-                    c.clear()
-        if cols[0]:
-            yield out()
+        places = batch.column(2)
+        fields, rows = places.flatten(), np.repeat(np.arange(len(batch)), places.value_lengths().to_numpy(zero_copy_only=False))
+        hashes, pos = (fields.field(k).to_numpy(zero_copy_only=False) for k in ("hash", "pos"))
+        texts = batch.column(1).cast(pa.large_binary())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)
+        docs = batch.column(0).to_numpy(zero_copy_only=False)
+        for k in range(0, len(rows), 20_000):
+            row, at, h = (x[k : k + 20_000] for x in (rows, pos, hashes))
+            before = np.minimum(at, reach)
+            size = np.minimum(ends[row + 1] - ends[row], at + LENGTH) - at + before
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            source = np.repeat(ends[row] + at - before - offsets[:-1], size) + np.arange(offsets[-1])
+            body = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[source])])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(docs[row]), pa.array(at.astype(np.int32)), pa.array(before.astype(np.int32)), body], names=names)
 
 
 def _group_repeats(batches) -> Iterator:
-    """(doc_id, lo, hi): starts of strings that start earlier too, from snippets sorted by (hash, doc_id, pos)."""
+    """(doc_id, lo, hi): starts of strings that start earlier too, from snippets sorted by (hash, before, bytes, doc_id, pos)."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    result: list[tuple] = []  # doc_id, lo, hi
+    result: list[tuple] = []  # arrays of doc_id, lo, hi
     block: list[tuple[bytes, int, int]] = []  # different snippets of one anchor, with their first occurrence
     held = 0
 
@@ -200,7 +204,7 @@ def _group_repeats(batches) -> Iterator:
         valid = np.zeros(len(data), bool)
         for b, s in zip(begins.tolist(), sizes.tolist(), strict=True):
             valid[b : b + max(0, s - LENGTH + 1)] = True
-        order = suffix_array(data, LENGTH)
+        order = suffix_array(data, LENGTH, valid)
         order = order[valid[order]]
         equal = same_as_next(data, order, LENGTH)
         run = np.concatenate([[0], np.cumsum(~equal[:-1])]) if len(order) else np.empty(0, int)
@@ -220,45 +224,53 @@ def _group_repeats(batches) -> Iterator:
         if len(docs):
             new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + 1)])
             ends = np.append(np.flatnonzero(new)[1:] - 1, len(docs) - 1)
-            result.extend(zip(docs[new].tolist(), starts[new].tolist(), starts[ends].tolist(), strict=True))
+            result.append((docs[new], starts[new], starts[ends]))
         block.clear()
         held = 0
 
     def close(rows):
-        """All snippets of an anchor: equal ones are settled here, different ones meet in the suffix array."""
+        """The different snippets of an anchor meet in the suffix array."""
         nonlocal held
-        seen: dict[bytes, tuple[int, int]] = {}
-        for doc, pos, before, data in rows:
-            key = bytes([before]) + data
-            if key in seen:
-                if len(data) >= LENGTH:
-                    result.append((doc, pos - before, pos - before + len(data) - LENGTH))
-            else:
-                seen[key] = (doc, pos - before)
-        if len(seen) > 1:
+        if len(rows) > 1:
             if held > BLOCK:
                 sort_block()
-            for key, (doc, first) in seen.items():
-                block.append((key[1:], doc, first))
-                held += len(key)
+            block.extend(rows)
+            held += sum(len(data) for data, _, _ in rows)
 
     def flush():
-        cols = list(zip(*result, strict=True)) or [(), (), ()]
+        cols = [np.concatenate(c) for c in zip(*result, strict=True)] if result else [np.empty(0, np.int64)] * 3
         result.clear()
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["doc_id", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["doc_id", "lo", "hi"])
 
-    rows, last = [], None
+    last, anchor, rows = None, None, []
     for batch in batches:
-        for h, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if h != last:
-                if len(rows) > 1:
-                    close(rows)
-                rows, last = [], h
-            rows.append(row)
-        if len(result) > 50_000:
+        if not len(batch):
+            continue
+        hashes, docs, pos, before = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+        texts = batch.column(4)
+        first, sizes = pos.astype(np.int64) - before, pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        # a snippet equal to the one before it: all its strings start earlier, too
+        equal = np.zeros(len(batch), bool)
+        equal[0] = last == (hashes[0], before[0], texts[0].as_py())
+        equal[1:] = (hashes[1:] == hashes[:-1]) & (before[1:] == before[:-1]) & pc.equal(texts[1:], texts[:-1]).to_numpy(zero_copy_only=False)
+        last = hashes[-1], before[-1], texts[-1].as_py()
+        whole = equal & (sizes >= LENGTH)
+        result.append((docs[whole], first[whole], first[whole] + sizes[whole] - LENGTH))
+        # the others are the different snippets of their anchors, each at its earliest place
+        own = np.flatnonzero(~equal)
+        if len(own):
+            edges = [0, *(np.flatnonzero(hashes[own[1:]] != hashes[own[:-1]]) + 1).tolist(), len(own)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == 0 and hashes[own[0]] == anchor or b - a > 1 or b == len(own):
+                    part = own[a:b]
+                    found = list(zip(texts.take(pa.array(part)).to_pylist(), docs[part].tolist(), first[part].tolist(), strict=True))
+                    if hashes[part[0]] != anchor:
+                        close(rows)
+                        anchor, rows = hashes[part[0]], []
+                    rows += found
+        if sum(len(d) for d, _, _ in result) > 50_000:
             yield flush()
-    if len(rows) > 1:
-        close(rows)
+    close(rows)
     sort_block()
     yield flush()
 
@@ -320,8 +332,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. A document equal to one of smaller id is such a string throughout; it needs no search.
     2. Equal strings have equal anchors, so only anchors that occur twice can hold a repeat. Their counts are joined to their places.
     3. Of the texts around these places, different ones are sorted by their suffixes in two stages; neighbours with
-       LENGTH common bytes are repeats, of which the earliest stays. An anchor with more than `hot` places is no task's
-       group: a partial minimum by whole string finds the earliest place of each.
+       LENGTH common bytes are repeats, of which the earliest stays. Of an anchor with more than `hot` places
+       only the different snippets are sorted, each standing for its equals; if these are more than `hot`, too, their strings are grouped whole.
     4. The intervals of starts are merged per document.
 
     Ids must be integers. Null text is empty; texts below LENGTH bytes and rows without id lose nothing.
@@ -333,23 +345,34 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = stage(base.join(first, "sha").where(f"doc_id > first AND n_bytes >= {LENGTH}").select("doc_id", "sha"), "passages-copies")
     single = _semi(texts.where(F.col("doc_id").isNotNull()), copies.select("doc_id").distinct(), "left_anti")
     found = single.mapInArrow(_anchor_rows, "hash long, doc_id long, pos int")
-    twice = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    twice = stage(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "passages-twice")
     places = found.join(twice, "hash").groupBy("doc_id").agg(F.collect_list(F.struct("hash", "pos", "n")).alias("places"))
     places = stage(places, "passages-places")
     chosen = _semi(texts, places.select("doc_id").distinct(), "left_semi").join(places, "doc_id")
-    fields = "hash long, doc_id long, pos int, before int, bytes binary"
-    cold = chosen.select("doc_id", "text", F.filter("places", lambda x: x["n"] <= hot).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields)
-    cold = cold.repartition("hash").sortWithinPartitions("hash", "doc_id", "pos").mapInArrow(_group_repeats, "doc_id long, lo long, hi long")
-    starts = stage(cold, "passages-starts")
+    fields, repeats = "hash long, doc_id long, pos int, before int, bytes binary", "doc_id long, lo long, hi long"
+    around = lambda keep: chosen.select("doc_id", "text", F.filter("places", keep).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields)
+    groups, more = around(lambda x: x["n"] <= hot), []
     if places.where(F.exists("places", lambda x: x["n"] > hot)).limit(1).count():
-        windows = chosen.select("doc_id", "text", F.filter("places", lambda x: x["n"] > hot).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields).mapInArrow(_windows, "string binary, doc_id long, start long")
-        # a partial minimum by whole string finds the earliest places; all other places are later ones. Both tables are spread by place, whatever the string.
-        earliest = stage(windows.groupBy("string").agg(F.min(F.struct("doc_id", "start")).alias("m")).select("m.*").distinct(), "passages-earliest")
-        at = chosen.select("doc_id", F.octet_length("text").alias("size"), F.explode(F.filter("places", lambda x: x["n"] > hot)).alias("p"))
-        first, last = F.greatest(F.lit(0), F.col("p.pos") - (LENGTH - GRAM)), F.least("p.pos", F.col("size") - LENGTH)
-        at = at.where(first <= last).select("doc_id", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("start"))
-        later = at.distinct().join(earliest, ["doc_id", "start"], "left_anti")
-        starts = starts.union(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
+        # of equal snippets the earliest stands for all; the strings of the others are later ones throughout
+        firsts = around(lambda x: x["n"] > hot).groupBy("hash", "before", "bytes").agg(F.min(F.struct("doc_id", "pos")).alias("m"))
+        firsts = stage(firsts.select("hash", "m.doc_id", "m.pos", "before", "bytes"), "passages-firsts")
+        at = chosen.select("doc_id", F.octet_length("text").alias("size"), F.explode(F.filter("places", lambda x: x["n"] > hot)).alias("p")).select("doc_id", "size", "p.pos")
+        lo, hi = F.greatest(F.lit(0), F.col("pos") - (LENGTH - GRAM)), F.least("pos", F.col("size") - LENGTH)
+        more.append(at.join(firsts.select("doc_id", "pos"), ["doc_id", "pos"], "left_anti").where(lo <= hi).select("doc_id", lo.cast("long").alias("lo"), hi.cast("long").alias("hi")))
+        crowds = firsts.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("hash")
+        crowds = stage(crowds, "passages-crowds")
+        groups = groups.unionByName(firsts.join(crowds, "hash", "left_anti"))
+        if crowds.limit(1).count():
+            # different snippets without end around one anchor: a partial minimum by whole string finds the earliest places, all others are later ones
+            own = firsts.join(crowds, "hash", "left_semi")
+            earliest = own.mapInArrow(_windows, "string binary, doc_id long, start long").groupBy("string").agg(F.min(F.struct("doc_id", "start")).alias("m"))
+            every = own.mapInArrow(_windows, "string binary, doc_id long, start long").select("doc_id", "start").distinct()
+            later = every.join(earliest.select("m.*").distinct(), ["doc_id", "start"], "left_anti")
+            more.append(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
+    starts = groups.repartition("hash").sortWithinPartitions("hash", "before", "bytes", "doc_id", "pos").mapInArrow(_group_repeats, repeats)
+    starts = stage(starts, "passages-starts")
+    for part in more:
+        starts = starts.unionByName(part)
     spans = stage(starts.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("starts")), "passages-spans")
     cut = _semi(texts, spans.select("doc_id"), "left_semi").join(spans, "doc_id").select("doc_id", "text", "starts").mapInArrow(_cut, "doc_id long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.withColumn("n_kept", F.octet_length("kept")) if keep_bytes else cut.drop("kept")

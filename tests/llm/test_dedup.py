@@ -171,7 +171,7 @@ def passages_brute(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
+@pytest.mark.parametrize("hot", [20_000, 12, 3])
 def test_passages_equal_brute_force(spark, hot):
     rng = random.Random(hot)
     passages = [" ".join(words(rng, 40)) for _ in range(4)]
@@ -197,3 +197,6 @@ def test_suffix_array_is_sorted():
             data = bytes(rng.choice(letters) for _ in range(rng.randrange(200)))
             order = substrdup.suffix_array(np.frombuffer(data, np.uint8), 300).tolist()
             assert order == sorted(range(len(data)), key=lambda k: data[k:])
+            wanted = np.array([rng.random() < 0.3 for _ in data], bool)
+            some = substrdup.suffix_array(np.frombuffer(data, np.uint8), 300, wanted).tolist()
+            assert [k for k in some if wanted[k]] == [k for k in order if wanted[k]]
