@@ -74,12 +74,12 @@ def tally(entries: DataFrame) -> DataFrame:
 
 def report(entries: DataFrame) -> DataFrame:
     """Per model, and per model and dataset (grouping sets): samples, builds, tests by passed_tests alone, proofs, and percentages."""
-    entries.createOrReplaceTempView("__entries")
     sums = entries.sparkSession.sql(
         """SELECT model, dataset, CAST(grouping(dataset) AS INT) AS whole, count_if(eval = 'build') AS samples, count_if(eval = 'build' AND compiled) AS build,
                   count_if(eval = 'test' AND passed_tests) AS test, count_if(eval = 'prove' AND result = 'proved') AS proved,
                   count_if(eval = 'prove' AND result IN ('unproved', 'proved_incorrectly', 'subprogram_not_found')) AS unproved
-           FROM __entries GROUP BY GROUPING SETS ((model), (model, dataset))"""
+           FROM {entries} GROUP BY GROUPING SETS ((model), (model, dataset))""",
+        entries=entries,
     )
     return sums.withColumns({"build_pct": code.percent(F.col("build"), F.col("samples")), "test_pct": code.percent(F.col("test"), F.col("samples"))})
 

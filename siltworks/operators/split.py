@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.sources import sequence
+
 #: The seeded shuffle of the parity split needs the group list on the driver; more groups than this are refused.
 SHUFFLE_GROUPS = 5_000_000
 
@@ -20,9 +22,9 @@ def split_sizes(n: int, val: float = 0.05, test: float = 0.05) -> tuple[int, int
 
 
 def seeded_group_split(df: DataFrame, group: str, seed: int = 42, val: float = 0.05, test: float = 0.05) -> DataFrame:
-    """df with `split`: sorted groups, shuffled with a seeded Mersenne twister; the first are test, the next val, the rest train."""
+    """df with `split`: sorted groups, shuffled with a seeded Mersenne twister; the first are test, the next val, the rest train. Rows without a group are train."""
     spark = df.sparkSession
-    groups = sorted(r[0] for r in df.select(group).distinct().limit(SHUFFLE_GROUPS + 1).collect())
+    groups = sorted(r[0] for r in df.where(F.col(group).isNotNull()).select(group).distinct().limit(SHUFFLE_GROUPS + 1).collect())
     if len(groups) > SHUFFLE_GROUPS:
         raise ValueError("too many groups for a shuffle on the driver; use hashed_group_split")
     random.Random(seed).shuffle(groups)
@@ -32,7 +34,7 @@ def seeded_group_split(df: DataFrame, group: str, seed: int = 42, val: float = 0
     else:
         named = {g: "test" if k < n_test else "val" if k < n_test + n_val else "train" for k, g in enumerate(groups)}
     table = spark.createDataFrame(list(named.items()), f"{group} {df.schema[group].dataType.simpleString()}, split string")
-    return df.join(table, group)
+    return df.join(table, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
 def hashed_group_split(df: DataFrame, group: str, seed: int = 42, val: float = 0.05, test: float = 0.05) -> DataFrame:
@@ -52,6 +54,23 @@ def hash_sample(df: DataFrame, key: str, one_in: int, hasher=F.crc32) -> DataFra
 
 def inject_first_share(df: DataFrame, order: str, messages: str, message, share: int = 4) -> DataFrame:
     """The first 1/share of the rows (one at least) get a message in front."""
-    n = df.count()
-    ranked = df.withColumn("__n", F.row_number().over(Window.orderBy(order)))
-    return ranked.withColumn(messages, F.when(F.col("__n") <= max(n // share, 1), F.concat(F.array(message), F.col(messages))).otherwise(F.col(messages))).drop("__n")
+    n = max(df.count() // share, 1)
+    ranked = sequence(df, order)
+    return ranked.withColumn(messages, F.when(F.col("seq") < n, F.concat(F.array(message), F.col(messages))).otherwise(F.col(messages))).drop("seq")
+
+
+def _shuffled(df: DataFrame, order: str, seed: int) -> DataFrame:
+    """df with `seq`, dense in the order of a hash of seed and key; no list of keys on the driver."""
+    return sequence(df, F.md5(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string"))), order)
+
+
+def fallback_carve(df: DataFrame, order: str, n_val: int, n_test: int, seed: int = 42) -> DataFrame:
+    """df with `split` where no split files exist: the first n_val of the shuffled rows are val, the next n_test test, each a tenth of all at most (one at least), the rest train."""
+    most = max(df.count() // 10, 1)
+    val, test = min(n_val, most), min(n_test, most)
+    return _shuffled(df, order, seed).withColumn("split", F.when(F.col("seq") < val, "val").when(F.col("seq") < val + test, "test").otherwise("train")).drop("seq")
+
+
+def seeded_subsample(df: DataFrame, order: str, n: int | None, seed: int = 42) -> DataFrame:
+    """n rows of the shuffled ones, in their own order; all for none, 0, or as many as there are."""
+    return df.orderBy(order) if not n or n >= df.count() else _shuffled(df, order, seed).where(F.col("seq") < n).drop("seq").orderBy(order)

@@ -76,11 +76,11 @@ def declaration_turns(units: DataFrame) -> DataFrame:
 
 
 def completion_turns(pairs: DataFrame) -> DataFrame:
-    """One turn per pair(spec, impl): whole pair to complete, a spec to write a body for, or a body to write a spec for; either side may be null."""
+    """One turn per pair(spec, impl): a spec to write the body for. A side alone has an empty answer, which usable() drops: nothing in the table completes it."""
     fence = lambda c: F.concat(F.lit("```ada\n"), c, F.lit("\n```"))
     ask = F.when(F.col("spec").isNull(), F.concat(F.lit("Write the specification.\n"), fence(F.col("impl")))).otherwise(F.concat(F.lit("Write the body.\n"), fence(F.col("spec"))))
     label = code.standard(F.coalesce("impl", "spec"))
-    return pairs.select("dir", "stem", F.when(label == "Unknown", "Ada").otherwise(label).alias("standard"), F.array(message("user", ask), message("assistant", fence(F.coalesce("impl", "spec")))).alias("messages"))
+    return pairs.select("dir", "stem", F.when(label == "Unknown", "Ada").otherwise(label).alias("standard"), F.array(message("user", ask), message("assistant", F.when(F.col("spec").isNotNull() & F.col("impl").isNotNull(), fence(F.col("impl"))).otherwise(""))).alias("messages"))
 
 
 def ingest_stats(requested: DataFrame, records: DataFrame) -> DataFrame:
@@ -94,8 +94,8 @@ def ingest_stats(requested: DataFrame, records: DataFrame) -> DataFrame:
     return requested.join(counts, "path", "left").na.fill(0, ["records", "ingested", "malformed", "empty"])
 
 
-def capped_families(defects: DataFrame, code_hash: str, rank: str, families: int = 17, cap: int = 3) -> DataFrame:
+def capped_families(defects: DataFrame, code_hash: str, rank: str, families: int = 17, cap: int = 3, snippet: str = "snippet") -> DataFrame:
     """The first cap applicable families of a snippet, counted from the one that its hash points to."""
     turned = F.pmod(F.col(rank) - F.col(code_hash) % families, F.lit(families))
-    w = Window.partitionBy("snippet").orderBy("__turned")
+    w = Window.partitionBy(snippet).orderBy("__turned")
     return defects.withColumn("__turned", turned).withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= cap).drop("__turned", "__n")

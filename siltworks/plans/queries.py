@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltworks.functions import code, prose
-from siltworks.operators import dedup, documents, guard, history, pairing, scoring, split, turns
+from siltworks.operators import dedup, documents, evaluation, guard, history, pairing, scoring, split, turns
 from siltworks.plans import build
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,17 +333,27 @@ def bleu_scores(spark, sf_dir):
     return scoring.bleu(pairs).select("id", F.round("bleu", 9).alias("bleu"))
 
 
-# Code, replies and file pairs: the same rows in both engines, as the tables hold none.
-_CODE_ROWS = """SELECT * FROM (VALUES
+# Whole documents with a fragment of code chosen by id in their middle, as the tables hold none.
+_FRAGMENTS = """SELECT * FROM (VALUES
     (1, 'package P is procedure Q; end P;'), (2, 'procedure Q with Pre => X > 0, Post => Y;'), (3, 'package body P is pragma SPARK_Mode (On); Ghost'),
     (4, '-- Pre => in a comment' || chr(10) || 'x := 1'), (5, 'type T is tagged null record; aliased'), (6, 'A := [for I in 1 .. 3 => 0]''Reduce (X, 0)'), (7, 'text "Post => here" only'),
-    (8, 'type I is interface; use type X;'), (9, 'pragma Assert (X); overriding procedure Z is null;'), (10, 'function F (X : Integer) return Integer is (X + 1);'), (11, ''), (12, 'task body T'), (13, 'gnatprove Ghost')) AS t(id, code)"""
+    (8, 'type I is interface; use type X;'), (9, 'pragma Assert (X); overriding procedure Z is null;'), (10, 'function F (X : Integer) return Integer is (X + 1);'), (11, ''), (12, 'task body T'), (13, 'gnatprove Ghost')) AS t(f, fragment)"""
+_HALF = "length(coalesce(text, '')) // 2"
+_CODE_ROWS = f"SELECT doc_id AS id, substr(coalesce(text, ''), 1, {_HALF}) || chr(10) || fragment || chr(10) || substr(coalesce(text, ''), 1 + {_HALF}) AS code FROM documents JOIN ({_FRAGMENTS}) ON f = 1 + doc_id % 13"
+
+
+def _code_rows(spark, sf_dir):
+    t, half = F.coalesce("text", F.lit("")), F.floor(F.length(F.coalesce("text", F.lit(""))) / 2).cast("int")
+    d = read(spark, sf_dir, "documents").select((1 + F.col("doc_id") % 13).alias("f"), F.col("doc_id").alias("id"), F.substring(t, F.lit(1), half).alias("head"), F.substring(t, half + 1, F.length(t)).alias("tail"))
+    return d.join(F.broadcast(spark.sql(_FRAGMENTS)), "f").select("id", F.concat_ws("\n", "head", "fragment", "tail").alias("code"))  # 13 fragments
+
+
 _TIERS_SQL = "CASE " + " ".join("WHEN " + " + ".join(f"(CASE WHEN regexp_matches(c, '{p.replace(chr(39), chr(39) * 2)}') THEN {w} ELSE 0 END)" for p, w in features) + f" >= 2 THEN '{name}'" for name, features in code.STANDARDS) + " ELSE 'Unknown' END"
 
 
 @query(f"""SELECT id, {_TIERS_SQL} AS standard FROM (SELECT id, regexp_replace(regexp_replace(code, '--[^\\n]*', ' ', 'g'), '"(?:[^"]|"")*"', '""', 'g') AS c FROM ({_CODE_ROWS}))""")
 def code_standard(spark, sf_dir):
-    return spark.sql(_CODE_ROWS).select("id", code.standard(F.col("code")).alias("standard"))
+    return _code_rows(spark, sf_dir).select("id", code.standard(F.col("code")).alias("standard"))
 
 
 _MARKERS_SQL = "CASE standard " + " ".join(f"WHEN '{n}' THEN (" + " + ".join(f"(CASE WHEN contains(code, '{m}') THEN 1 ELSE 0 END)" for m in ms) + f") / {len(ms)}.0" for n, ms in code.MARKERS.items()) + " ELSE 0.0 END"
@@ -352,7 +362,7 @@ _MARKERS_SQL = "CASE standard " + " ".join(f"WHEN '{n}' THEN (" + " + ".join(f"(
 @query(f"SELECT id, round(CAST({_MARKERS_SQL} AS DOUBLE), 9) AS compliance FROM (SELECT id, code, CASE id % 3 WHEN 0 THEN 'SPARK 2014' WHEN 1 THEN 'Ada 83' ELSE 'Ada 2012' END AS standard FROM ({_CODE_ROWS}))")
 def marker_compliance(spark, sf_dir):
     s = F.when(F.col("id") % 3 == 0, "SPARK 2014").when(F.col("id") % 3 == 1, "Ada 83").otherwise("Ada 2012")
-    return spark.sql(_CODE_ROWS).select("id", F.round(code.compliance(F.col("code"), s), 9).alias("compliance"))
+    return _code_rows(spark, sf_dir).select("id", F.round(code.compliance(F.col("code"), s), 9).alias("compliance"))
 
 
 _FILE_ROWS = "SELECT * FROM (VALUES ('a/p.ads'), ('a/p.adb'), ('a/q.ADS'), ('b/p.adb'), ('b/r.ads'), ('b/r.adb'), ('c/x.gpr'), ('c/P.ads'), ('c/p.adb')) AS t(path)"
@@ -442,15 +452,8 @@ def durations(spark, sf_dir):
     return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), code.duration(F.col("o_orderkey") % 9000).alias("took"))
 
 
-@query("SELECT lang, string_agg(doc_id || ':' || substr(text, 1, 5), ' | ' ORDER BY doc_id) AS joined FROM documents WHERE doc_id % 20 = 0 GROUP BY lang")
-def ordered_concat(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where("doc_id % 20 = 0")
-    each = F.struct("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.substring("text", 1, 5)).alias("t"))
-    return d.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["t"]), " | ").alias("joined"))
-
-
 @query("SELECT conv_id, coalesce(string_agg(turn || ':' || text, ' | ' ORDER BY turn, role, text), '') AS joined FROM conversations GROUP BY conv_id")
-def ordered_concat_whole(spark, sf_dir):
+def ordered_concat(spark, sf_dir):
     return turns.joined(read(spark, sf_dir, "conversations"))
 
 
@@ -474,3 +477,166 @@ def usable_length(spark, sf_dir):
 def top_per_group(spark, sf_dir):
     w = Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
     return read(spark, sf_dir, "documents").withColumn("n", F.row_number().over(w)).where("n <= 3").select("source", "doc_id")
+
+
+# Samples of a benchmark: a document is a generated file of dataset spark_<source> or <source>; a tenth have none.
+_SAMPLES = "SELECT doc_id AS seq, CASE WHEN doc_id % 2 = 0 THEN 'spark_' ELSE '' END || source AS dataset, lang || '_' || (doc_id // 3) AS name, CASE WHEN doc_id % 10 <> 3 THEN text END AS text FROM documents"
+
+
+def _samples(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    name = F.concat_ws("_", "lang", F.floor(F.col("doc_id") / 3).cast("string"))
+    files = F.when((F.col("doc_id") % 10 != 3) & F.col("text").isNotNull(), F.create_map(F.lit("src/a.ads"), F.col("text"))).otherwise(F.create_map().cast("map<string,string>"))
+    return d.select(F.col("doc_id").alias("seq"), F.concat(F.when(F.col("doc_id") % 2 == 0, "spark_").otherwise(""), F.col("source")).alias("dataset"), name.alias("name"), files.alias("files"))
+
+
+@query(f"SELECT dataset, name, max(seq) AS seq, md5(arg_max(text, seq)) AS digest FROM ({_SAMPLES}) WHERE text IS NOT NULL GROUP BY dataset, name")
+def reference_index(spark, sf_dir):
+    return evaluation.reference_index(_samples(spark, sf_dir)).select("dataset", "name", "seq", F.md5(F.col("files")["src/a.ads"]).alias("digest"))
+
+
+@query(f"SELECT dataset, count(*) AS samples, count(*) FILTER (text IS NULL) AS hollow, count(*) FILTER (text IS NULL) = 0 AS ok FROM ({_SAMPLES}) GROUP BY dataset")
+def packed_samples_verified(spark, sf_dir):
+    return evaluation.verified(_samples(spark, sf_dir))
+
+
+@query(f"SELECT seq, dataset FROM ({_SAMPLES}) WHERE regexp_replace(dataset, '^spark_', '') IN ('src0', 'src1')")
+def wanted_datasets(spark, sf_dir):
+    return evaluation.wanted_datasets(_samples(spark, sf_dir), ["spark_src0", "src1"]).select("seq", "dataset")
+
+
+_KIND = "CASE event_id % 4 WHEN 0 THEN 'build' WHEN 1 THEN 'test' WHEN 2 THEN 'prove' ELSE 'other' END"
+
+
+def _kinds(spark, sf_dir):
+    k = F.col("event_id") % 4
+    return read(spark, sf_dir, "events").select("event_id", "event_type", "value", F.when(k == 0, "build").when(k == 1, "test").when(k == 2, "prove").otherwise("other").alias("eval"))
+
+
+@query(f"SELECT event_id, {_KIND} AS eval FROM events WHERE {_KIND} IN ('build', 'prove')")
+def wanted_kinds(spark, sf_dir):
+    return evaluation.wanted_kinds(_kinds(spark, sf_dir), ["prove", "other", "build"]).select("event_id", "eval")
+
+
+@query("""WITH f AS (SELECT conv_id, CASE turn WHEN 0 THEN 'other.json' WHEN 1 THEN 'prompt.md' WHEN 2 THEN 'comments.md' ELSE 'base/f' || turn || '.ads' END AS path, any_value(text) AS text FROM conversations WHERE text IS NOT NULL GROUP BY ALL)
+    SELECT conv_id AS sample, md5(max(text) FILTER (path = 'prompt.md')) AS prompt, md5(max(text) FILTER (path = 'comments.md')) AS comments, count(*) FILTER (starts_with(path, 'base/')) AS base_files
+    FROM f GROUP BY conv_id HAVING count(*) FILTER (path = 'other.json') > 0 AND count(*) FILTER (path = 'prompt.md') > 0""")
+def expanded_samples(spark, sf_dir):
+    t = F.col("turn")
+    path = F.when(t == 0, "other.json").when(t == 1, "prompt.md").when(t == 2, "comments.md").otherwise(F.concat(F.lit("base/f"), t.cast("string"), F.lit(".ads")))
+    f = read(spark, sf_dir, "conversations").where("text IS NOT NULL").select(F.col("conv_id").alias("sample"), path.alias("path"), "text")
+    return evaluation.expanded_samples(f).select("sample", F.md5("prompt").alias("prompt"), F.md5("comments").alias("comments"), F.size("base").cast("long").alias("base_files"))
+
+
+_SCORED = "SELECT source AS model, lang AS standard, round(CAST(n_chars % 101 AS DOUBLE) / 100, 9) AS bleu, CAST(doc_id % 3 = 0 AS INT) AS exact, CAST(doc_id % 2 = 0 AS INT) AS file_set, CAST(n_chars % 5 AS DOUBLE) / 4 AS compliance FROM documents"
+
+
+@query(f"""SELECT m.model, scored, round(bleu, 6) AS bleu, round(exact, 6) AS exact, round(file_set, 6) AS file_set, round(compliance, 6) AS compliance, standards
+    FROM (SELECT model, count(*) AS scored, avg(bleu) AS bleu, avg(exact) AS exact, avg(file_set) AS file_set, avg(compliance) AS compliance FROM ({_SCORED}) GROUP BY model) m
+    JOIN (SELECT model, string_agg(standard || '=' || n, ',' ORDER BY standard) AS standards FROM (SELECT model, standard, count(*) AS n FROM ({_SCORED}) GROUP BY ALL) GROUP BY model) s ON m.model = s.model""")
+def model_score(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    scored = d.select(F.col("source").alias("model"), F.col("lang").alias("standard"), F.round((F.col("n_chars") % 101).cast("double") / 100, 9).alias("bleu"), (F.col("doc_id") % 3 == 0).cast("int").alias("exact"), (F.col("doc_id") % 2 == 0).cast("int").alias("file_set"), ((F.col("n_chars") % 5).cast("double") / 4).alias("compliance"))
+    out = evaluation.model_score(scored, "model")
+    text = F.array_join(F.transform(F.map_entries("standards"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return out.select("model", "scored", *(F.round(c, 6).alias(c) for c in ("bleu", "exact", "file_set", "compliance")), text.alias("standards"))
+
+
+@query("""WITH j AS (SELECT CASE quality WHEN 1 THEN 'file_blocks' WHEN 0 THEN 'raw_text' END AS f, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL)
+    SELECT (SELECT count(*) FROM j) AS known, (SELECT string_agg(f || '=' || n, ',' ORDER BY f) FROM (SELECT f, count(*) AS n FROM j GROUP BY f)) AS by_format, (SELECT count(*) FROM j WHERE toxic = 0) AS unchanged""")
+def reply_summary(spark, sf_dir):
+    scored = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("name"))
+    meta = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("name"), F.when(F.col("quality") == 1, "file_blocks").when(F.col("quality") == 0, "raw_text").alias("reply_format"), F.col("toxic").alias("changed_files"))
+    text = F.array_join(F.transform(F.map_entries("by_format"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return evaluation.reply_summary(scored, meta).select("known", text.alias("by_format"), "unchanged")
+
+
+@query("SELECT strftime(l_shipdate, '%Y') AS family, count(*) FILTER (l_returnflag = 'A') AS passed, count(*) FILTER (l_returnflag = 'R') AS failed, count(*) FILTER (l_returnflag = 'N') AS skipped FROM lineitem GROUP BY 1")
+def family_tally(spark, sf_dir):
+    outcome = F.when(F.col("l_returnflag") == "A", "pass").when(F.col("l_returnflag") == "R", "fail").otherwise("skip")
+    return evaluation.family_tally(read(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy").alias("family"), outcome.alias("outcome")))
+
+
+@query("SELECT p_type AS \"check\", CAST(sum(p_size) AS BIGINT) AS n FROM part GROUP BY p_type ORDER BY n DESC, p_type LIMIT 8")
+def check_histogram(spark, sf_dir):
+    return evaluation.check_histogram(read(spark, sf_dir, "part").select(F.create_map("p_type", F.col("p_size").cast("long")).alias("unproved_checks")))
+
+
+# Units: documents as bodies of packages, whose context clause depends on the id.
+_WITH = "CASE doc_id % 3 WHEN 0 THEN 'with Ada.Text_IO, System;' WHEN 1 THEN 'with Vendor.Io;' ELSE '' END"
+
+
+@query(f"""WITH u AS (SELECT 'd' || (doc_id // 100) || '/u' || doc_id AS stem, 'pkg_' || (doc_id % 50) AS package, doc_id, text FROM documents WHERE doc_id % 3 <> 1 AND text IS NOT NULL)
+    SELECT package, min(stem || '.ads') AS path, md5(arg_min(text, stem || '.ads')) AS body FROM u GROUP BY package""")
+def standalone_units(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").where("text IS NOT NULL")
+    stem = F.concat(F.lit("d"), F.floor(F.col("doc_id") / 100).cast("string"), F.lit("/u"), F.col("doc_id").cast("string"))
+    k = F.col("doc_id") % 3
+    spec = F.concat(F.when(k == 0, "with Ada.Text_IO, System;").when(k == 1, "with Vendor.Io;").otherwise(""), F.lit("\npackage Pkg_"), (F.col("doc_id") % 50).cast("string"), F.lit(" is\n"))
+    body = F.concat(F.lit("-- "), F.regexp_replace("text", "\n", " "))
+    files = d.select(F.explode(F.array(F.struct(F.concat(stem, F.lit(".ads")).alias("path"), spec.alias("text")), F.struct(F.concat(stem, F.lit(".adb")).alias("path"), body.alias("text")))).alias("f"), "text").select("f.path", "f.text", F.col("text").alias("whole"))
+    found = evaluation.standalone_units(files.select("path", "text"))
+    whole = files.where("path LIKE '%.ads'").select("path", "whole")
+    return found.join(whole, "path").select("package", "path", F.md5("whole").alias("body"))
+
+
+@query("SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower(name), '[^_.]*[_.]?'), lambda p: upper(substr(p, 1, 1)) || substr(p, 2)), '') AS shown FROM (SELECT doc_id, source || '.' || lang || '_' || upper(substr(md5(text), 1, 6)) AS name FROM documents WHERE text IS NOT NULL)")
+def unit_display(spark, sf_dir):
+    name = F.concat(F.col("source"), F.lit("."), F.col("lang"), F.lit("_"), F.upper(F.substring(F.md5("text"), 1, 6)))
+    return read(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", evaluation.unit_display(name).alias("shown"))
+
+
+@query(f"SELECT seq, kind FROM (SELECT seq, CASE seq % 4 WHEN 0 THEN 'ada_fix' WHEN 1 THEN 'typo_defect' WHEN 2 THEN 'defect_free' END AS kind FROM ({_SAMPLES})) WHERE kind IS NULL OR NOT regexp_matches(kind, '_(fix|defect)$')")
+def variant_sources(spark, sf_dir):
+    k = F.col("seq") % 4
+    rows = _samples(spark, sf_dir).select("seq", F.when(k == 0, "ada_fix").when(k == 1, "typo_defect").when(k == 2, "defect_free").alias("kind"))
+    return evaluation.variant_sources(rows)
+
+
+@query("SELECT source, min(doc_id) AS doc_id FROM (SELECT source, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 3) WHERE length(text) > 200 GROUP BY source")
+def first_usable(spark, sf_dir):
+    return evaluation.first_usable(read(spark, sf_dir, "documents").select("source", "doc_id", "text"), "source", "doc_id", F.length("text") > 200).select("source", "doc_id")
+
+
+@query("SELECT p_partkey, CAST(CASE p_brand WHEN 'Brand#3' THEN 0 WHEN 'Brand#1' THEN 1 ELSE 2 END AS INT) AS rank FROM part")
+def by_priority(spark, sf_dir):
+    return evaluation.by_priority(read(spark, sf_dir, "part"), "p_brand", ["Brand#3", "Brand#1"], "p_partkey").select("p_partkey", "rank")
+
+
+@query("SELECT k, min(part) AS part FROM (SELECT c_custkey AS k, 0 AS part FROM customer UNION ALL SELECT o_custkey, 1 FROM orders UNION ALL SELECT p_partkey, 2 FROM part) GROUP BY k")
+def ordered_union(spark, sf_dir):
+    return evaluation.ordered_union(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")), key="k")
+
+
+@query("SELECT kind, kind_rank, id, digest FROM (SELECT 'documents' AS kind, 0 AS kind_rank, doc_id AS id, md5(text) AS digest FROM documents UNION ALL SELECT 'benchmark', 1, item_id, md5(text) FROM benchmark UNION ALL SELECT 'pages', 2, page_id, NULL FROM pages)")
+def bag_union(spark, sf_dir):
+    own = lambda t, k: read(spark, sf_dir, t).select(F.col(k).alias("id"), F.md5("text").alias("digest"))
+    parts = {"documents": own("documents", "doc_id"), "benchmark": own("benchmark", "item_id"), "pages": read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"))}
+    return evaluation.bag_union(parts, "id")
+
+
+@query("""WITH t AS (SELECT DISTINCT source || '/' || lang AS path FROM documents WHERE doc_id % 2 = 0), i AS (SELECT DISTINCT CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN source || '/' || lang ELSE source || '/other' END AS path FROM documents)
+    SELECT path FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.path = i.path OR starts_with(t.path, i.path || '/'))""")
+def untracked_paths(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    k, whole = F.col("doc_id") % 3, F.concat_ws("/", "source", "lang")
+    path = F.when(k == 0, F.col("source")).when(k == 1, whole).otherwise(F.concat(F.col("source"), F.lit("/other")))
+    return evaluation.untracked(d.select(path.alias("path")), d.where("doc_id % 2 = 0").select(whole.alias("path")))
+
+
+_SHUFFLED = "row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS k, count(*) OVER () AS n"
+
+
+@query(f"SELECT doc_id, CASE WHEN k < v THEN 'val' WHEN k < v + t THEN 'test' ELSE 'train' END AS split FROM (SELECT doc_id, k, least(300, greatest(n // 10, 1)) AS v, least(7, greatest(n // 10, 1)) AS t FROM (SELECT doc_id, {_SHUFFLED} FROM documents))")
+def fallback_carve(spark, sf_dir):
+    return split.fallback_carve(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 300, 7)
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, {_SHUFFLED} FROM documents) WHERE k < 50")
+def seeded_subsample(spark, sf_dir):
+    return split.seeded_subsample(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 50)
+
+
+@query("SELECT lang, source, count(*) AS pairs FROM documents JOIN labels USING (doc_id) GROUP BY ALL HAVING count(*) > 0")
+def pairs_per_root(spark, sf_dir):
+    return read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id").groupBy("lang", "source").agg(F.count("*").alias("pairs"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,15 +20,20 @@ PRUNED = (".git", ".cache", "__pycache__", ".pytest_cache", ".github")
 def files(spark: SparkSession, roots: list[str], extensions: tuple[str, ...], content: bool = True) -> DataFrame:
     """(root_rank, root, path, length, content) of files below the roots with these extensions, in any case; pruned folders are left out.
 
-    Without content no file is opened: binaryFile prunes the column.
+    Without content no file is opened: binaryFile prunes the column. A root that isn't there gives a warning and no rows.
     """
-    out = None
+    fields = "root_rank int, root string, path string, length long" + ", content binary" * content
+    out = spark.createDataFrame([], fields)
     for rank, root in enumerate(roots):
+        at = spark._jvm.org.apache.hadoop.fs.Path(root)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            warnings.warn(f"no such root: {root}", stacklevel=2)
+            continue
         df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         relative = F.substring_index("path", root.rstrip("/") + "/", -1)
         df = df.where(F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*extensions) & ~F.arrays_overlap(F.split(relative, "/"), F.array(*map(F.lit, PRUNED))))
         df = df.select(F.lit(rank).alias("root_rank"), F.lit(root).alias("root"), relative.alias("path"), "length", *(["content"] if content else []))
-        out = df if out is None else out.unionByName(df)
+        out = out.unionByName(df)
     return out
 
 

@@ -225,3 +225,62 @@ def test_sections_of_one_crc32_are_all_kept(spark):
     rows = [("a", "md", 1, k, ["T"], x) for k, x in enumerate([*pair, pair[0]])]
     df = spark.createDataFrame(rows, "source string, format string, level int, ordinal int, path array<string>, body string")
     assert sorted((r.ordinal, r.clean) for r in documents.usable_sections(df).collect()) == [*enumerate(pair)]
+
+
+def test_lone_sides_are_not_completed_by_themselves(spark):
+    from siltworks.operators import turns
+
+    pairs = spark.createDataFrame([("d", "a", "package A is end A;", "package body A is end A;"), ("d", "b", "package B is end B;", None), ("d", "c", None, "package body C is end C;")], "dir string, stem string, spec string, impl string")
+    made = turns.completion_turns(pairs)
+    answers = {r.stem: r.messages[1].content for r in made.collect()}
+    assert "package body A" in answers["a"] and answers["b"] == answers["c"] == ""
+    assert [r.stem for r in made.where(turns.usable()).collect()] == ["a"]
+
+
+def test_seeded_split_of_rows_without_group(spark):
+    rows = spark.createDataFrame([(k, None if k % 5 == 0 else f"g{k % 7}") for k in range(40)], "id long, g string")
+    got = split.seeded_group_split(rows, "g").collect()
+    assert len(got) == 40 and {r.split for r in got if r.g is None} == {"train"} and {r.split for r in got} == {"train", "val", "test"}
+    assert split.seeded_group_split(rows.where("false"), "g").count() == 0
+
+
+def test_first_share_gets_a_message(spark):
+    rows = spark.createDataFrame([(k, ["x"]) for k in range(41)], "k long, messages array<string>").repartition(5)
+    got = {r.k: len(r.messages) for r in split.inject_first_share(rows, "k", "messages", F.lit("system")).collect()}
+    assert [k for k, n in sorted(got.items()) if n == 2] == list(range(10))
+
+
+def test_carves_and_samples(spark):
+    rows = spark.range(45).repartition(4)
+    n = {r.split: r["count"] for r in split.fallback_carve(rows, "id", 100, 2).groupBy("split").count().collect()}
+    assert n == {"val": 4, "test": 2, "train": 39}
+    some = [r.id for r in split.seeded_subsample(rows, "id", 7).collect()]
+    assert len(some) == 7 and some == sorted(some) and split.seeded_subsample(rows, "id", 0).count() == split.seeded_subsample(rows, "id", 99).count() == 45
+
+
+def test_roots_that_are_missing(spark, tmp_path):
+    (tmp_path / "a.ads").write_text("package A is end A;")
+    with pytest.warns(UserWarning, match="no such root"):
+        got = sources.files(spark, [f"{tmp_path}/none", str(tmp_path)], (".ads",))
+    assert [(r.root_rank, r.path) for r in got.collect()] == [(1, "a.ads")]
+    assert sources.files(spark, [], (".ads",)).count() == 0
+
+
+def test_evaluation_edges(spark):
+    from siltworks.operators import evaluation as e
+
+    samples = spark.createDataFrame([(1, "d", "a", {"x": "1"}), (2, "d", "a", {"x": "2"}), (3, "d", "a", {}), (4, "d", "b", None)], "seq long, dataset string, name string, files map<string,string>")
+    assert [(r.name, r.files) for r in e.reference_index(samples).collect()] == [("a", {"x": "2"})]
+    assert [tuple(r) for r in e.verified(samples).collect()] == [("d", 4, 2, False)]
+    files = spark.createDataFrame([("s", "other.json", "{}"), ("s", "prompt.md", "p"), ("s", "base/a/b.ads", "t"), ("t", "prompt.md", "q")], "sample string, path string, text string")
+    assert [tuple(r) for r in e.expanded_samples(files).collect()] == [("s", "{}", "p", None, {"a/b.ads": "t"})]
+    scored = spark.createDataFrame([], "bleu double, exact boolean, file_set boolean, compliance double, standard string")
+    assert tuple(e.model_score(scored).collect()[0])[:2] == (0, None)
+    units = [("a/P.ads", "with Ada.Text_IO, System; use System;\npackage P is end P;"), ("a/p.adb", "package body P is end P;"), ("b/p.ads", "package P is end P;"), ("b/p.adb", "--"), ("c/q.ads", "limited with Other;\npackage Q is end Q;"), ("c/q.adb", ""), ("c/r.ads", "-- with Other;\npackage R is end R;")]
+    got = e.standalone_units(spark.createDataFrame(units, "path string, text string"))
+    assert [(r.package, r.path) for r in got.collect()] == [("p", "a/P.ads")]
+    names = spark.createDataFrame([("gNAT.os_LIB",), ("",), ("a__b",)], "n string")
+    assert [r[0] for r in names.select(e.unit_display("n")).collect()] == ["Gnat.Os_Lib", "", "A__B"]
+    paths = lambda *p: spark.createDataFrame([(x,) for x in p], "path string")
+    assert [r[0] for r in e.untracked(paths("a", "a/b", "c", "ab"), paths("a/b/d", "c")).collect()] == ["ab"]
+    assert e.wanted_kinds(spark.createDataFrame([("build",), ("x",)], "eval string"), ["x"]).count() == 0
