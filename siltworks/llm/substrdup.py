@@ -348,16 +348,21 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     twice = stage(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "passages-twice")
     places = found.join(twice, "hash").groupBy("doc_id").agg(F.collect_list(F.struct("hash", "pos", "n")).alias("places"))
     places = stage(places, "passages-places")
-    chosen = _semi(texts, places.select("doc_id").distinct(), "left_semi").join(places, "doc_id")
     fields, repeats = "hash long, doc_id long, pos int, before int, bytes binary", "doc_id long, lo long, hi long"
-    around = lambda keep: chosen.select("doc_id", "text", F.filter("places", keep).alias("p")).where("size(p) > 0").mapInArrow(_snippets, fields)
+
+    def around(keep):
+        own = places.select("doc_id", F.filter("places", keep).alias("p")).where("size(p) > 0")
+        chosen = _semi(texts, stage(own.select("doc_id").distinct(), "passages-chosen"), "left_semi")  # only their texts travel
+        return chosen.join(own, "doc_id").select("doc_id", "text", "p").mapInArrow(_snippets, fields)
+
     groups, more = around(lambda x: x["n"] <= hot), []
     if places.where(F.exists("places", lambda x: x["n"] > hot)).limit(1).count():
         # of equal snippets the earliest stands for all; the strings of the others are later ones throughout
         firsts = around(lambda x: x["n"] > hot).groupBy("hash", "before", "bytes").agg(F.min(F.struct("doc_id", "pos")).alias("m"))
         firsts = stage(firsts.select("hash", "m.doc_id", "m.pos", "before", "bytes"), "passages-firsts")
-        at = chosen.select("doc_id", F.octet_length("text").alias("size"), F.explode(F.filter("places", lambda x: x["n"] > hot)).alias("p")).select("doc_id", "size", "p.pos")
-        lo, hi = F.greatest(F.lit(0), F.col("pos") - (LENGTH - GRAM)), F.least("pos", F.col("size") - LENGTH)
+        at = places.select("doc_id", F.explode(F.filter("places", lambda x: x["n"] > hot)).alias("p")).select("doc_id", "p.pos")
+        at = at.join(base.select("doc_id", F.col("n_bytes").alias("size")), "doc_id")
+        lo, hi = F.greatest(F.lit(0), F.col("pos") - (LENGTH - GRAM)), F.least(F.col("pos").cast("long"), F.col("size") - LENGTH)
         more.append(at.join(firsts.select("doc_id", "pos"), ["doc_id", "pos"], "left_anti").where(lo <= hi).select("doc_id", lo.cast("long").alias("lo"), hi.cast("long").alias("hi")))
         crowds = firsts.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("hash")
         crowds = stage(crowds, "passages-crowds")
