@@ -342,6 +342,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     base = stage(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "passages-base")
     first = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stage(first, "passages-first")  # so that the join below has no aggregation in its stage, and a large group of copies can be split
     copies = stage(base.join(first, "sha").where(f"doc_id > first AND n_bytes >= {LENGTH}").select("doc_id", "sha"), "passages-copies")
     single = _semi(texts.where(F.col("doc_id").isNotNull()), copies.select("doc_id").distinct(), "left_anti")
     found = single.mapInArrow(_anchor_rows, "hash long, doc_id long, pos int")
