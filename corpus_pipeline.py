@@ -14,22 +14,27 @@ from siltworks.llm.common import read, stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the lexicon, learned from labels outside the held-out fifth, scores 0.5 or more. Null and empty texts score as clean and stay; without labels all stay."""
     return toxicity.drop_toxic(docs, queries.fitted_lexicon(spark, docs, sf_dir))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (null counts as empty) the row with the largest doc_id stays; of rows that repeat id and text, one."""
     return exactdup.drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked at a similarity of 0.8 of five-word shingles the smallest doc_id stays. Empty texts and rows without id are linked with nothing and stay."""
     return neardup.drop_near_duplicates(docs, percent=80, shingle=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item. Null and empty texts stay; with an empty benchmark all stay."""
     return decontam.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2,048 tokens; a null or empty text is one end token. An empty table gives no rows."""
     return packing.pack(packing.token_pieces(docs, queries.tokenizer_file()))
 
 
