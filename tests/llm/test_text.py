@@ -347,3 +347,35 @@ def test_pipeline_stages(spark):
     packed = p.STAGES[-1][1](spark, docs, SF)
     assert packed.select("doc_id").distinct().count() == docs.count()
     assert [n for n, _ in p.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    from tests.llm.test_dedup import near_brute
+
+    rng = random.Random(11)
+    make = lambda n: [f"w{rng.randrange(900)}" for _ in range(n)]
+    item = " ".join(make(20))
+    texts = [" ".join(make(rng.randrange(8, 60))) for _ in range(60)]
+    toxic = [" ".join(make(10) + ["scumbag", "vermin"] + make(5)) for _ in range(24)]
+    near = [" ".join([*texts[k].split(), "tail"]) for k in range(0, 60, 6)]
+    copies = texts[1:60:9] + texts[1:60:20]
+    leaks = [" ".join(make(15)) + " " + item + " " + " ".join(make(9)), "x " + item.replace(item.split()[4], "changed", 1)]
+    rows = list(enumerate(texts + toxic + near + copies + leaks + ["", None, ""]))
+    labels = [(k, 1, int(len(texts) <= k < len(texts) + len(toxic))) for k, _ in rows[:84]]
+    for name, data, schema in (("documents", [(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long"), ("labels", labels, "doc_id long, quality int, toxic int"), ("benchmark", [(1, item)], "item_id long, text string")):
+        spark.createDataFrame(data, schema).repartition(2).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    lexicon = queries.fitted_lexicon(spark, docs, str(tmp_path))
+    hits = toxicity.matcher(lexicon)
+    clean = [(k, t) for k, t in rows if toxicity.score(lexicon.coef, *hits(toxicity.fold(t or ""))) < 0.5]
+    assert {k for k, _ in rows} - {k for k, _ in clean} == set(range(60, 84))
+    last = {t or "": k for k, t in clean}
+    one = [(k, t) for k, t in clean if last[t or ""] == k]
+    apart = near_brute(one, 80, 5)
+    kept = [(k, t) for k, t in one if apart[k][1] == k]
+    leaked = {d for d, _ in leaks_brute(kept, [(1, item)])}
+    assert len(clean) > len(one) > len(kept) and len(leaked) == 2
+    assert got == {k for k, _ in kept} - leaked
