@@ -284,3 +284,17 @@ def test_evaluation_edges(spark):
     paths = lambda *p: spark.createDataFrame([(x,) for x in p], "path string")
     assert [r[0] for r in e.untracked(paths("a", "a/b", "c", "ab"), paths("a/b/d", "c")).collect()] == ["ab"]
     assert e.wanted_kinds(spark.createDataFrame([("build",), ("x",)], "eval string"), ["x"]).count() == 0
+
+
+def test_prompts_of_every_length_are_found_as_brute_force_finds_them(spark):
+    prompts = ["abcdefghijklmnopqrstuvwxyz", "abcdefghijklm nopqrstuvwxyz", "see abcdefghijklm then", "one two three four five", "one two three four five six seven", "a b c d e f g h i j k l m n o p", "short", "", None]
+    texts = ["xxabcdefghijklmnopqrstuvwxyzyy", "zzabcdefghijklm nopqrstuvwxyzzz end", "foresee abcdefghijklm thenceforth", "none two three four fives", "one two three four five six sevenfold", "q a b c d e f g h i j k l m n o pq", "", None, "one two three four", "abcdefghijklm", "s" * 200_000]
+    p = spark.createDataFrame([(x,) for x in prompts], "prompt string")
+    t = spark.createDataFrame([(k, x) for k, x in enumerate([*texts, texts[0]])], "id int, text string")
+    for some in (p, p.where("length(prompt) > 26"), p.where("false")):
+        norm = lambda df, c: {r[0]: r[1] for r in df.select(c, code.normalized(F.col(c))).collect()}
+        wanted = [v for v in norm(some, "prompt").values() if v and len(v) >= guard.MIN_PROMPT]
+        found = {(r.id, r.prompt) for r in guard.contains_prompt(t, some, "id", "text", "prompt").collect()}
+        by_text = norm(t, "text")
+        assert found == {(r.id, w) for r in t.collect() for w in wanted if w in (by_text[r.text] or "")}
+    assert len(found) == 0
