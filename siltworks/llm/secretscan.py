@@ -20,19 +20,23 @@ PATTERNS = {
 }
 #: Words that stand for no secret when they are in a value, and those that announce one, or none, near it.
 DICTIONARY = ("password", "secret", "token", "example", "sample", "test", "dummy", "changeme", "your", "here", "admin", "user", "name", "demo", "null", "none", "default", "value", "key", "insert", "placeholder", "letmein", "qwerty", "abc", "foo", "bar")
+_HARMLESS = "commit|sha1|sha256|md5|checksum|hash|uuid|guid|order|card|phone|invoice|isbn|version|revision|serial|doi|digest"
 ANNOUNCING = rf"(?i)({_WORDS})s?(?:[_.-][a-z0-9]{{1,20}}){{0,2}}\W{{0,6}}$"
-DENYING = r"(?i)(commit|sha1|sha256|md5|checksum|hash|uuid|guid|order|card|phone|invoice|isbn|version|revision|serial|doi|digest)\W{0,6}$"
+DENYING = rf"(?i)({_HARMLESS})\W{{0,6}}$"
+#: The same words behind a value, with up to four small words between.
+_THEN = r"(?i)^\W{0,6}(?:(?:is|was|as|the|a|an|new|its|our|my)\W{1,3}){0,4}"
+ANNOUNCING_AFTER, DENYING_AFTER = rf"{_THEN}(?:{_WORDS})", rf"{_THEN}(?:{_HARMLESS})"
 HARMLESS_PATH = r"(?i)(test|example|fixture|sample|mock|docs?/|readme|tutorial)"
 #: Characters of a finding's surroundings that are looked at.
 NEAR = 40
-FEATURES = ("length", "digits", "uppers", "transitions", "repeats", "variety", "hex_only", "digits_only", "dashes", "covered", "announced", "denied", "harmless_path")
+FEATURES = ("length", "digits", "uppers", "transitions", "repeats", "variety", "hex_only", "digits_only", "dashes", "covered", "announced", "denied", "announced_after", "denied_after", "harmless_path")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """doc_id, kind, value, path, before, occurrences: one row for each different value of a document's whole text.
+    """doc_id, kind, value, path, before, after, occurrences: one row for each different value of a document's whole text.
 
-    A value that several patterns find has the first one's kind. before: up to NEAR characters before its most telling place: the
-    first that is announced, else the first that isn't denied, else the first. Null and empty texts have no candidate; repeated rows give theirs again. Other columns are not read.
+    A value that several patterns find has the first one's kind. before, after: up to NEAR characters on both sides of its most
+    telling place: the first that is announced before it, else behind it, else the first that is denied on neither side, else the first. Null and empty texts have no candidate; repeated rows give theirs again. Other columns are not read.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), path.alias("path"))
@@ -46,15 +50,23 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each = rows.where(f"size({first}) + size({second}) > 0").select("doc_id", "path", "text", F.explode(tagged).alias("f"))
     literal = F.concat(F.lit(r"\Q"), F.replace(F.col("f.value"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     each = each.withColumn("between", F.split("text", literal, -1)).drop("text")
-    ends = F.transform(F.slice("between", F.lit(1), F.size("between") - 1), lambda x, k: F.right(F.when(k > 0, F.concat("f.value", x)).otherwise(x), F.lit(NEAR)))
-    each = each.withColumn("ends", ends)
-    first_of = lambda keep: F.get(F.filter("ends", keep), F.lit(0))
-    before = F.coalesce(first_of(lambda x: x.rlike(ANNOUNCING)), first_of(lambda x: ~x.rlike(DENYING)), F.get("ends", F.lit(0)))
-    return each.select("doc_id", "f.kind", "f.value", "path", before.alias("before"), F.size("ends").cast("long").alias("occurrences"))
+    def place(x, k):
+        behind = F.get("between", k + 1)
+        before = F.right(F.when(k > 0, F.concat("f.value", x)).otherwise(x), F.lit(NEAR))
+        last = k == F.size("between") - 2
+        return F.struct(before.alias("before"), F.left(F.when(last, behind).otherwise(F.concat(behind, "f.value")), F.lit(NEAR)).alias("after"))
+
+    each = each.withColumn("places", F.transform(F.slice("between", F.lit(1), F.size("between") - 1), place)).drop("between")
+    first_of = lambda keep: F.get(F.filter("places", keep), F.lit(0))
+    before, after = lambda p: lambda x: x["before"].rlike(p), lambda p: lambda x: x["after"].rlike(p)
+    free = lambda x: ~x["before"].rlike(DENYING) & ~x["after"].rlike(DENYING_AFTER)
+    best = F.coalesce(first_of(before(ANNOUNCING)), first_of(after(ANNOUNCING_AFTER)), first_of(free), F.get("places", F.lit(0)))
+    each = each.select("doc_id", "f.kind", "f.value", "path", best.alias("best"), F.size("places").cast("long").alias("occurrences"))
+    return each.select("doc_id", "kind", "value", "path", "best.before", "best.after", "occurrences")
 
 
 def with_features(found: DataFrame) -> DataFrame:
-    """found(value, path, before) with FEATURES: length, character transitions, dictionary coverage, path, neighbouring words."""
+    """found(value, path, before, after) with FEATURES: length, character transitions, dictionary coverage, path, neighbouring words."""
     v: Column = F.col("value")
     size = F.greatest(F.length(v), F.lit(1)).cast("double")
     left = lambda pattern: F.length(F.regexp_replace(v, pattern, "")).cast("double")
@@ -74,13 +86,15 @@ def with_features(found: DataFrame) -> DataFrame:
         "covered": 1 - F.length(F.regexp_replace(v, words, "")) / size,
         "announced": F.col("before").rlike(ANNOUNCING).cast("double"),
         "denied": F.col("before").rlike(DENYING).cast("double"),
+        "announced_after": F.col("after").rlike(ANNOUNCING_AFTER).cast("double"),
+        "denied_after": F.col("after").rlike(DENYING_AFTER).cast("double"),
         "harmless_path": F.col("path").rlike(HARMLESS_PATH).cast("double"),
     }
     return found.select("*", *(made[k].cast("double").alias(k) for k in FEATURES))
 
 
 def labelled_findings(spark: SparkSession, n: int = 4_000) -> DataFrame:
-    """n labelled findings (value, path, before, label), made by rule: half real-looking secrets, half usual false positives.
+    """n labelled findings (value, path, before, after, label), made by rule: half real-looking secrets, half usual false positives.
 
     No table of labelled findings is at hand; one with these columns can be given to fit() instead.
     """
@@ -116,7 +130,9 @@ def labelled_findings(spark: SparkSession, n: int = 4_000) -> DataFrame:
         (F.when(F.col("id") % 2 == 0, F.initcap(joined("sy", syllables, 7, ""))).otherwise(joined("sy", syllables, 7, "")), pick("b", plain), pick("p", paths), 0),
         (joined("co", code_words, 4, "", "_", "/", "-"), pick("b", plain + denied), pick("p", paths), 0),
     ]
-    parts = [rows.where(case == k).select("id", v.alias("value"), b.alias("before"), p.alias("path"), F.lit(float(y)).alias("label")) for k, (v, b, p, y) in enumerate(kinds)]
+    neutral = ("", " and then", "\n", " ends.", '" for all', ", which", "; the")
+    behind = {1: (*neutral, " is the password", " as the new token"), 0: (*neutral, " is the commit", " was its checksum")}
+    parts = [rows.where(case == k).select("id", v.alias("value"), b.alias("before"), pick("a", behind[y]).alias("after"), p.alias("path"), F.lit(float(y)).alias("label")) for k, (v, b, p, y) in enumerate(kinds)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -124,8 +140,8 @@ def labelled_findings(spark: SparkSession, n: int = 4_000) -> DataFrame:
 
 
 def fit(findings: DataFrame, trees: int = 40, depth: int = 8) -> RandomForestClassificationModel:
-    """A random forest on FEATURES from findings(value, path, before, label); rows with nulls are left out."""
-    rows = with_features(findings.dropna(subset=["value", "path", "before", "label"]))
+    """A random forest on FEATURES from findings(value, path, before, after, label); rows with nulls are left out."""
+    rows = with_features(findings.dropna(subset=["value", "path", "before", "after", "label"]))
     made = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7).fit(made.select("features", "label"))
 

@@ -187,6 +187,49 @@ def test_secret_candidates_of_every_shape(spark):
     assert len(missed) <= 0.05 * len(cases), missed
 
 
+def planted_findings():
+    """(text, value, is a secret): sentences of their own wording, their values drawn at random or written by hand, none by the lists of the fit."""
+    r = random.Random(11)
+    draw = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alnum, rows = lower + upper + digits, []
+    for _ in range(40):
+        for text, value, y in (
+            ("export AWS_SECRET_ACCESS_KEY={} before the build", draw(alnum + "/+", 40), 1),
+            ("The client sends 'Authorization: Bearer {}' with it", draw(alnum, 43), 1),
+            ('{{"db": {{"passwd": "{}"}}}}', draw(alnum + "!#%&*", 14), 1),
+            ("curl https://example.org -H x-id:{} works", "glpat-" + draw(alnum, 20), 1),
+            ("He wrote {} is our new token on the board", draw(alnum, 32), 1),
+            ("git checkout {} and build", draw("abcdef" + digits, 40), 0),
+            ("The archive has {} as its checksum", draw("abcdef" + digits, 64), 0),
+            ("see urn:uuid:{} for the record", "-".join(draw("abcdef" + digits, n) for n in (8, 4, 4, 4, 12)), 0),
+            ("call {} in the handler", r.choice(["getUserAccountSettings", "initializeDatabaseConnection", "org/apache/commons/lang", "parse_configuration_file"]), 0),
+            ("Die {} tagt heute", r.choice(["Bundesverfassungsrichterin", "Gesundheitsministerkonferenz", "Verkehrsinfrastrukturgesellschaft"]), 0),
+            ("password: {} until you set one", r.choice(["changeme_example", "your_password_here", "<insert-password>", "example_password"]), 0),
+            ("tracked as parcel no {} since May", draw(digits, 18), 0),
+        ):
+            rows.append((text.format(value), value, y))
+    return rows
+
+
+def test_planted_secrets_are_found_and_harmless_values_left(spark):
+    rows = planted_findings()
+    docs = spark.createDataFrame([(k, t, "notes") for k, (t, _, _) in enumerate(rows)], "doc_id long, text string, source string")
+    judged = {(r.doc_id, r.value): r.is_secret for r in secretscan.scan(docs, secretscan.fit(secretscan.labelled_findings(spark))).collect()}
+    told = [(y, judged.get((k, v), False)) for k, (_, v, y) in enumerate(rows)]
+    hits, false, real = sum(y and t for y, t in told), sum(t and not y for y, t in told), sum(y for y, _ in told)
+    by_shape = Counter((k % 12, y) for k, (y, t) in enumerate(told) if bool(y) != t)
+    print("recall", hits / real, "precision", hits / (hits + false), by_shape)
+    assert hits / real >= 0.9 and hits / (hits + false) >= 0.9, by_shape
+
+
+def test_secret_words_behind_a_value_count(spark):
+    value = "k3" + "Qz7pLm2X" * 3
+    docs = spark.createDataFrame([(1, f"so {value} is the checksum, and {value} is the password now"), (2, f"at {value} is its checksum"), (3, value)], "doc_id long, text string")
+    got = {r.doc_id: (r.before[-3:], r.after[:16], r.occurrences) for r in secretscan.candidates(docs, path_col=None).collect()}
+    assert got == {1: ("nd ", " is the password", 2), 2: ("at ", " is its checksum", 1), 3: ("", "", 1)}
+
+
 def test_secret_is_judged_by_its_most_telling_place(spark):
     value = hashlib.sha1(b"2").hexdigest()
     rows = [(1, f"commit {value} has token={value} and commit {value}"), (2, f"commit {value} sha1 {value}"), (3, "-" * 100_000 + " undchkeitachkeit tokentoken" * 3)]
