@@ -188,7 +188,7 @@ def test_secret_candidates_of_every_shape(spark):
 
 
 def planted_findings():
-    """(text, value, is a secret): sentences of their own wording, their values drawn at random or written by hand, none by the lists of the fit."""
+    """(text, value, is a secret): sentences with values drawn at random or written by hand. Not independent of the scanner: its words (token, checksum, password), one prefix (glpat-) and the placeholders' words are in its lists, too."""
     r = random.Random(11)
     draw = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
     lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
