@@ -15,6 +15,8 @@ from siltworks.functions import prose
 MESSAGES = "messages ARRAY<STRUCT<role: STRING, content: STRING>>, meta STRUCT<kind: STRING, source: STRING, section: STRING, level: INT, format: STRING, unit: STRING, group: STRING, template: STRING, verified: STRING, has_contract: BOOLEAN, standard: STRING>, _corrupt_record STRING"
 #: Folders that a scan leaves out.
 PRUNED = (".git", ".cache", "__pycache__", ".pytest_cache", ".github")
+#: Rows of a range of keys that is numbered in one task, as long as there are under 2 ** RANGE_BITS ranges.
+RANGE_ROWS, RANGE_BITS = 10_000, 10
 
 
 def files(spark: SparkSession, roots: list[str], extensions: tuple[str, ...], content: bool = True) -> DataFrame:
@@ -48,12 +50,25 @@ def records(spark: SparkSession, paths: list[str] | str, schema: str | T.StructT
 
 
 def sequence(df: DataFrame, *order: str | Column) -> DataFrame:
-    """df with `seq`, dense from 0 in the order of real keys, without gathering rows: ranges are sorted, then counted and shifted."""
-    ordered = df.orderBy(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
-    within = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ordered.groupBy("__part").count()
-    before = counts.withColumn("__base", F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ordered.join(F.broadcast(before.select("__part", "__base")), "__part").withColumn("seq", F.col("__base") + within).drop("__part", "__id", "__base")
+    """df with `seq`, dense from 0 in the order of real keys, without gathering rows: they are counted and numbered by ranges of their keys.
+
+    A row's range hangs on its key alone, never on the task that holds it: tasks of the plan that counts needn't be those of the plan that numbers.
+    Range ends are sampled keys, so that ranges have about as many rows; any ends give the same numbers.
+    """
+    keyed = df.withColumn("__key", F.struct(*((F.col(k) if isinstance(k, str) else k).alias(f"k{n}") for n, k in enumerate(order))))
+    n = keyed.count()
+    ranges, ends = min(n // RANGE_ROWS + 1, 1 << RANGE_BITS), []
+    if ranges > 1:
+        some = [r[0] for r in keyed.select("__key").sample(min(1.0, 100 * ranges / n), 0).orderBy("__key").collect()]  # 100 keys a range
+        ends = [some[len(some) * k // ranges] for k in range(1, ranges)] if some else []
+    table = df.sparkSession.createDataFrame([(ends,)], T.StructType([T.StructField("__ends", T.ArrayType(keyed.schema["__key"].dataType))]))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(RANGE_BITS))))
+    at = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(F.col("__ends"), low + step - 1) <= F.col("__key"), low + step).otherwise(low))
+    ranged = keyed.crossJoin(F.broadcast(table)).withColumn("__range", at).drop("__key", "__ends")
+    counts = ranged.groupBy("__range").count()
+    before = counts.select("__range", F.coalesce(F.sum("count").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    return ranged.withColumn("__n", within).join(F.broadcast(before), "__range").withColumn("seq", F.col("__base") + F.col("__n")).drop("__range", "__n", "__base")
 
 
 def write_splits(df: DataFrame, path: str, split: str = "split", fmt: str = "json") -> None:

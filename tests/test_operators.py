@@ -250,6 +250,24 @@ def test_first_share_gets_a_message(spark):
     assert [k for k, n in sorted(got.items()) if n == 2] == list(range(10))
 
 
+def test_first_share_of_wide_rows(spark):
+    """Rows so wide that the plan that numbers them has more tasks than the plan that counts them."""
+    rows = spark.range(40).select(F.col("id").alias("k"), F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda n: F.sha2(F.concat_ws(" ", "id", n), 256)).alias("messages")).repartition(7)
+    got = [(r.k, r.n) for r in split.inject_first_share(rows, "k", "messages", F.lit("system")).select("k", F.size("messages").alias("n")).collect()]
+    assert sorted(got) == [(k, 4001 if k < 10 else 4000) for k in range(40)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 50, 1000])
+def test_sequence_whatever_the_ranges(spark, monkeypatch, size):
+    monkeypatch.setattr(sources, "RANGE_ROWS", size)
+    rng = random.Random(size)
+    rows = [(rng.choice([None, 1, 2, 3, 3, 3]), f"{k * 7919 % 211:03}") for k in range(211)]
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    got = sorted((r.seq, r.a, r.b) for r in sources.sequence(df, "a", F.upper("b")).collect())
+    assert got == [(k, *r) for k, r in enumerate(sorted(rows, key=lambda r: (r[0] or 0, r[1])))]
+    assert sources.sequence(df.where("false"), "a").collect() == []
+
+
 def test_carves_and_samples(spark):
     rows = spark.range(45).repartition(4)
     n = {r.split: r["count"] for r in split.fallback_carve(rows, "id", 100, 2).groupBy("split").count().collect()}
