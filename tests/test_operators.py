@@ -103,6 +103,22 @@ def test_bleu(spark):
     assert got == pytest.approx({k: plain_bleu(*p) for k, p in enumerate(pairs)}) and got[0] == pytest.approx(1) and got[1] < 0.3
 
 
+def test_bleu_without_grams_as_rows(spark):
+    """Texts of all lengths, copies, many different words, nulls; no shuffle beyond the one that makes the pairs."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(9)] + ["''x''", '"a b"', ":=", "1.5e3", "é", "\U0001f600", ";"]
+    text = lambda: rng.choice([" ", "\n", ""]).join(rng.choice(words) for _ in range(rng.choice([0, 1, 2, 3, 4, 40, 700])))
+    pairs = [(text(), text()) for _ in range(150)] + [(t := text(), t)]
+    many = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(60_000)) for _ in range(2)]  # so many that a gram's number has to be made smaller
+    pairs += [(many[0], many[1] + many[0][:50_000]), (None, "x"), ("x", None), (None, ""), ("", None), (None, None)]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "id int, reference string, hypothesis string")
+    out = scoring.bleu(df)
+    got = {r.id: r.bleu for r in out.collect()}
+    assert [got.pop(len(pairs) - k) for k in range(5, 0, -1)] == [None, None, 0.0, 0.0, None]
+    assert got == pytest.approx({k: plain_bleu(*p) for k, p in enumerate(pairs[:-5])}, abs=1e-12)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_and_tallies(spark):
     import base64
 
