@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +16,15 @@ KEYWORDS = tuple(
     overriding package parallel pragma private procedure protected raise range record rem renames requeue return reverse
     select separate some subtype synchronized tagged task terminate then type until use when while with xor""".split()
 )
+_RESERVED = frozenset(KEYWORDS)
 # Fixed value: tokens for signatures - string, comment, character, word, number, operator, other.
 TOKEN = r""""(?:[^"]|"")*"|--[^\n]*|'(?:[^'\n]|'')'|[A-Za-z][A-Za-z0-9_]*|\d[\d_]*(?:\.\d[\d_]*)?|\.\.|:=|=>|<=|>=|/=|<<|>>|<>|\*\*|\S"""
 # Fixed value: tokens for scoring - case and comments stay.
 SCORE_TOKEN = r"""'(?:[^']|'')+'|"(?:[^"]|"")*"|[A-Za-z][A-Za-z0-9_]*|\d+(?:\.\d+)?(?:[eE][-+]?\d+)?|\*\*|:=|<=|>=|/=|<>|=>|\.\.|<<|>>|[^\s]"""
 #: Structural signatures of fewer characters are too general to use.
 MIN_STRUCTURAL = 40
+#: Renamed texts leave the Python worker in pieces of so many characters or rows.
+PIECE_CHARS, PIECE_ROWS = 1_000_000, 1_000
 
 # Features of each language standard with their weights; the first standard whose features weigh 2 or more wins.
 STANDARDS = (
@@ -77,18 +80,35 @@ def normalized(text: Column) -> Column:
     return F.array_join(tokens(text), " ")
 
 
-@F.pandas_udf(T.StringType())
-def _renamed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    keywords = frozenset(KEYWORDS)
+class _Names(dict):
+    """Tokens as renamed: a new word that isn't reserved gets the next number."""
 
-    def one(text):
-        if text is None:
-            return None
-        names: dict[str, str] = {}
-        return " ".join(t if t in keywords or not (t[0].isalpha() or t[0] == "_") else names.setdefault(t, f"N{len(names) + 1}") for t in text.split(" ") if t)
+    count = 0
 
+    def __missing__(self, token: str) -> str:
+        word = token not in _RESERVED and (token[0].isalpha() or token[0] == "_")
+        self.count += word
+        self[token] = name = f"N{self.count}" if word else token
+        return name
+
+
+def _rename(text: str) -> str:
+    return " ".join(map(_Names().__getitem__, filter(None, text.split(" "))))
+
+
+@F.arrow_udf(T.StringType())
+def _renamed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Only a batch's Arrow memory (64 MB by Spark's setting, or one longer text) is held whole: its texts become strings one at a time, and leave in pieces."""
     for texts in batches:
-        yield pd.Series([one(t) for t in texts], dtype=object)
+        piece, size = [], 0
+        for x in texts:
+            text = x.as_py()
+            piece.append(None if text is None else _rename(text))
+            size += len(piece[-1] or "")
+            if size >= PIECE_CHARS or len(piece) >= PIECE_ROWS:
+                yield pa.array(piece, pa.string())
+                piece, size = [], 0
+        yield pa.array(piece, pa.string())
 
 
 def structural(text: Column) -> Column:

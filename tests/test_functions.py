@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,17 @@ def test_tokens_and_signatures(spark):
     assert one == two != three and one.startswith("procedure N1 ( N2 : N3 ) is begin N4 (")
 
 
+def test_renamed_texts_leave_in_pieces():
+    """A large batch is never held as Python strings, nor its result as one array: pieces are of bounded size, in order, nulls included."""
+    texts = [None if k % 7 == 0 else "" if k % 7 == 1 else f"procedure a{k} is begin " + f"b{k % 3} := a{k} ; x " * 5000 for k in range(60)]
+    pieces = list(code._renamed.func(iter([pa.array(texts), pa.array([], pa.string()), pa.array(texts[:3])])))
+    assert max(p.nbytes for p in pieces) < 2 * code.PIECE_CHARS < sum(p.nbytes for p in pieces)
+    want = [t if not t else "procedure N1 is begin " + " ".join(["N2 := N1 ; N3"] * 5000) for t in texts]
+    assert [t for p in pieces for t in p.to_pylist()] == want + want[:3]
+    many = list(code._renamed.func(iter([pa.array(["x"] * 2500)])))
+    assert [len(p) for p in many] == [1000, 1000, 500]
+
+
 @pytest.mark.parametrize(
     ("text", "label"),
     [("X := 1;", "Unknown"), ("with Pre => A", "Ada 2012"), ("-- Pre => A", "Unknown"), ('S := "Pre => A";', "Unknown"), ("pragma SPARK_Mode; Pre => A", "Ada 2012"), ("pragma SPARK_Mode;", "SPARK 2014"), ("[..]'Reduce (X)", "Ada 2022"), ("type T is interface", "Ada 2005"), ("tagged", "Ada 95"), ("package P is procedure Q;", "Ada 83")],
